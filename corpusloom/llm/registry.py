@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from .bpe_pairs import op5_bpe_pairs
 from .compression_bands import op1_compression_bands
+from .packing_dp import op10_packing_dp
 
-QUERIES = {"op1_compression_bands": op1_compression_bands}
+QUERIES = {f.__name__: f for f in (op1_compression_bands, op5_bpe_pairs, op10_packing_dp)}
 ORACLES: dict[str, str] = {}
