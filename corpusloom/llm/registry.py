@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from . import warc
 from .bpe_pairs import op5_bpe_pairs
 from .compression_bands import op1_compression_bands
 from .packing_dp import op10_packing_dp
+from .simhash_covering import op6_simhash_covering
 
-QUERIES = {f.__name__: f for f in (op1_compression_bands, op5_bpe_pairs, op10_packing_dp)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_compression_bands, warc.op4_warc, op5_bpe_pairs, op6_simhash_covering, op10_packing_dp)}
+ORACLES: dict[str, str] = {"op4_warc": warc.ORACLE}
