@@ -186,7 +186,7 @@ def _join(directions: np.ndarray, width: int, cosine: float):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = batch.column(0).to_numpy() * (1 << 31) + batch.column(1).to_numpy()
+            keys = batch.column(0).to_numpy().astype(np.int64) * (1 << 31) + batch.column(1).to_numpy()
             change = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
             for s, e in zip(change, change[1:], strict=False):
                 if now is not None and keys[s] != now:
