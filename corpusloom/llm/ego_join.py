@@ -214,7 +214,8 @@ def embedding_links(vectors: DataFrame, *, cosine: float = COSINE, lead: int = L
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     good = (F.size("embedding") > 0) & ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("embedding", lambda x: x != 0)
     fit = rows.where("vec_id is not null").where(F.coalesce(good, F.lit(False)))
-    classes = cut(fit.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")))
+    # rows may share a vec_id, so a class has a number of its own, which the checkpoint keeps
+    classes = cut(fit.groupBy("embedding").agg(F.min("vec_id").alias("least"), F.count("*").alias("n")).withColumn("rep", F.monotonically_increasing_id()))
     seen = classes.agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("width")).first()
     total, width = seen["n"], seen["width"] or 1
     taken = classes.select("embedding", F.xxhash64(F.lit(1), "rep").alias("h")).orderBy("h").limit(sample).toArrow()
@@ -251,8 +252,9 @@ def embedding_links(vectors: DataFrame, *, cosine: float = COSINE, lead: int = L
 
     degrees = found.where("n > 0").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("more"))
     linked = components(found.where("n = 0").select("a", "b"))
-    known = classes.join(degrees, "rep", "left").join(linked, F.col("rep") == F.col("node"), "left")
-    known = known.select(F.col("embedding").alias("_vector"), (F.col("n") - 1 + F.coalesce("more", F.lit(0))).alias("_links"), F.coalesce("component", "rep").alias("_component"))
+    known = classes.join(degrees, "rep", "left").join(linked, F.col("rep") == F.col("node"), "left").withColumn("group", F.coalesce("component", "rep"))
+    named = known.groupBy("group").agg(F.min("least").alias("_component"))
+    known = known.join(named, "group").select(F.col("embedding").alias("_vector"), (F.col("n") - 1 + F.coalesce("more", F.lit(0))).alias("_links"), "_component")
     out = rows.withColumn("_key", F.when(F.col("vec_id").isNotNull() & F.coalesce(good, F.lit(False)), F.col("embedding"))).join(known, F.col("_key") == F.col("_vector"), "left")
     component = F.coalesce("_component", "vec_id")
     return out.select("vec_id", F.coalesce("_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
