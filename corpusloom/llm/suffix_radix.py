@@ -6,11 +6,12 @@ windows. They are sorted by most-significant-digit passes, and what is alone in
 1.  The first digit is the least hash of the k-grams of a window. Equal windows have equal digits, and neighbouring windows
     mostly share one, so a run of windows with one digit (a segment) is one row. Digits found at one place only are dropped.
 2.  The second digit is the content of a whole segment. Segments with equal contents repeat in all their windows.
-3.  The windows of what is left, one of each content, get two more digits, one for each half. They are dealt out and
-    sorted by the first, and groups of it are refined by the second. Equal groups are exactly the repeated windows.
+3.  The windows of what is left, one of each content, get two more digits, one for each half. They are sorted by the first, and
+    groups of it are refined by the second. Equal groups are exactly the repeated windows.
 
-Digits are 64-bit hashes of the bytes they stand for, so a digit has a fixed width; no pass gathers a group in one task: a task sends
-each window content once, with a mark if it has met it twice.
+Digits are 64-bit hashes of the bytes they stand for, so a digit has a fixed width. For the last passes, contents that share a first
+digit meet in one task; where these are many, their windows are dealt out by the next digit instead, each content of a window
+once from each task, with a mark if it has met it twice. So no group is gathered in one task.
 """
 
 from __future__ import annotations
@@ -27,11 +28,13 @@ from pyspark.sql.types import StructType
 from .common import covered, cut, documents, mix, powers, rolling, runs, sliding_min, small_batches, utf8
 
 LENGTH, GRAM = 400, 50
+#: Contents with one first digit that meet in one task.
+MANY = 512
 #: Odd bases of the hashes.
 GRAM_BASE, CONTENT_BASE, HALF_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
 #: Bytes of texts that are taken together (a longer text is taken alone).
 TOGETHER = 1 << 20
-SEGMENT = "doc_id long, tag long, digit long, content long, begin int, windows int, multi boolean"
+SEGMENT = "key long, tag long, digit long, content long, begin int, windows int, multi boolean"
 
 
 def groups_of(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
@@ -94,15 +97,17 @@ def _segments(length: int, gram: int):
                     rows = pa.array(text + i)
                     yield pa.record_batch(
                         [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(digit.view(np.int64)), pa.array(content.view(np.int64)), pa.array(begin.astype(np.int32)), pa.array(windows.astype(np.int32)), pa.array(multi)],
-                        ["doc_id", "tag", "digit", "content", "begin", "windows", "multi"],
+                        ["key", "tag", "digit", "content", "begin", "windows", "multi"],
                     )
 
     return run
 
 
-WINDOWS = "d1 long, d2 long, doc_id long, tag long, low int, high int, kind int"
-#: Kinds of rows of the last passes: a window to be judged; a content known to repeat; a span of windows known to repeat.
-OPEN, KNOWN, SPAN = 0, 1, 2
+WINDOWS = "d1 long, d2 long, key long, tag long, low int, high int, kind int, bytes binary"
+ARROW = pa.schema([("d1", pa.int64()), ("d2", pa.int64()), ("key", pa.int64()), ("tag", pa.int64()), ("low", pa.int32()), ("high", pa.int32()), ("kind", pa.int32()), ("bytes", pa.binary())])
+#: Kinds of rows of the last passes: a window to be judged; a window known to repeat; a span of windows known to repeat; a content to be judged; a
+#: content known to repeat.
+OPEN, KNOWN, SPAN, CONTENT, COPIED = range(5)
 
 
 def _groups(*keys: np.ndarray) -> np.ndarray:
@@ -113,7 +118,17 @@ def _groups(*keys: np.ndarray) -> np.ndarray:
     return np.cumsum(change)
 
 
-def _windows(length: int):
+def _joined(row: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of consecutive windows: row, first window, one past the last."""
+    order = np.lexsort((start, row))
+    r, s = row[order], start[order]
+    first = np.flatnonzero(np.concatenate([[True], (r[1:] != r[:-1]) | (s[1:] > s[:-1] + 1)]))
+    last = np.append(first[1:], len(s)) - 1
+    return r[first], s[first], s[last] + 1
+
+
+def _deal(length: int, many: int):
+    """Contents that share their first digit with few others, whole; windows of the others, by their next digits."""
     half = length // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,18 +136,27 @@ def _windows(length: int):
             if not batch.num_rows:
                 continue
             data, offsets = utf8(batch)
+            whole: list[tuple] = []
             d1, d2, row, start, done = [], [], [], [], []
-            parts = batch.column(3).to_pylist()
-            for i, wanted in enumerate(parts):
+            keys, tags = batch.column(0), batch.column(1)
+            for i, (key, tag, wanted) in enumerate(zip(keys.to_pylist(), tags.to_pylist(), batch.column(3).to_pylist(), strict=True)):
                 x = data[offsets[i] : offsets[i + 1]]
-                one, two = rolling(x, half, HALF_BASE), rolling(x, length - half, HALF_BASE)
+                one = None
                 for p in wanted:
-                    at = np.arange(p["begin"], p["begin"] + p["windows"])
+                    low, high = p["begin"], p["begin"] + p["windows"]
+                    if p["kinds"] <= many:
+                        whole.append((p["digit"], 0, key, tag, low, high, COPIED if p["done"] else CONTENT, x[low : high - 1 + length].tobytes()))
+                        continue
+                    if one is None:
+                        one, two = rolling(x, half, HALF_BASE), rolling(x, length - half, HALF_BASE)
+                    at = np.arange(low, high)
                     d1.append(one[at])
                     d2.append(two[at + half])
                     row.append(np.full(len(at), i))
                     start.append(at)
                     done.append(np.full(len(at), p["done"]))
+            for i in range(0, len(whole), 2000):
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*whole[i : i + 2000], strict=True), ARROW.types, strict=True)], ARROW)
             if not d1:
                 continue
             d1, d2, row, start, done = map(np.concatenate, (d1, d2, row, start, done))
@@ -141,98 +165,114 @@ def _windows(length: int):
             group = _groups(d1, d2)
             known = (np.bincount(group) > 1) | (np.bincount(group, done) > 0)
             lead = np.flatnonzero(np.diff(group, prepend=-1))
-            kind = np.where(known, KNOWN, OPEN)
-            ids, tags = batch.column(0), batch.column(1)
-            rows = pa.array(np.where(known, 0, row[lead]), mask=known)
-            yield pa.record_batch(
-                [pa.array(d1[lead].view(np.int64)), pa.array(d2[lead].view(np.int64)), ids.take(rows), tags.take(rows), pa.array(start[lead].astype(np.int32)), pa.array((start[lead] + 1).astype(np.int32)), pa.array(kind.astype(np.int32))],
-                [c.split()[0] for c in WINDOWS.split(", ")],
-            )
+            rows = pa.array(row[lead], mask=known)
+
+            def rest(n: int, kind: np.ndarray) -> list[pa.Array]:
+                return [pa.array(kind.astype(np.int32)), pa.nulls(n, pa.binary())]
+
+            yield pa.record_batch([pa.array(d1[lead].view(np.int64)), pa.array(d2[lead].view(np.int64)), keys.take(rows), tags.take(rows), pa.array(start[lead].astype(np.int32)), pa.array((start[lead] + 1).astype(np.int32)), *rest(len(lead), np.where(known, KNOWN, OPEN))], ARROW)
             told = np.flatnonzero(known[group] & ~done)
             if len(told):
-                told = told[np.lexsort((start[told], row[told]))]
-                r, s = row[told], start[told]
-                first = np.flatnonzero(np.concatenate([[True], (r[1:] != r[:-1]) | (s[1:] > s[:-1] + 1)]))
-                last = np.append(first[1:], len(s)) - 1
-                rows = pa.array(r[first])
-                spread = pa.array(mix((s[first] + 1).astype(np.uint64) * (r[first] + 7).astype(np.uint64)).view(np.int64))
-                yield pa.record_batch(
-                    [spread, spread, ids.take(rows), tags.take(rows), pa.array(s[first].astype(np.int32)), pa.array((s[last] + 1).astype(np.int32)), pa.array(np.full(len(first), SPAN, np.int32))],
-                    [c.split()[0] for c in WINDOWS.split(", ")],
-                )
+                r, low, high = _joined(row[told], start[told])
+                rows = pa.array(r)
+                spread = pa.array(mix((low + 1).astype(np.uint64) * (r + 7).astype(np.uint64)).view(np.int64))
+                yield pa.record_batch([spread, spread, keys.take(rows), tags.take(rows), pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32)), *rest(len(r), np.full(len(r), SPAN))], ARROW)
 
     return run
 
 
-def _refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in the order of the first digit: groups of it are refined by the second; spans pass through."""
+def _repeats(d1: np.ndarray, d2: np.ndarray) -> np.ndarray:
+    """Which places have another with the same digits: groups of the first are refined by the second, those of one go no further."""
+    order = np.argsort(d1, kind="stable")
+    group = _groups(d1[order])
+    alive = order[np.bincount(group)[group] > 1] if len(order) else order
+    alive = alive[np.lexsort((d2[alive], d1[alive]))]
+    out = np.zeros(len(d1), bool)
+    if len(alive):
+        group = _groups(d1[alive], d2[alive])
+        out[alive] = np.bincount(group)[group] > 1
+    return out
 
-    def judged(table: pa.Table) -> pa.RecordBatch | None:
-        kind = table.column("kind").to_numpy()
-        spans = np.flatnonzero(kind == SPAN)
-        at = np.flatnonzero(kind != SPAN)
-        a, b = table.column("d1").to_numpy()[at], table.column("d2").to_numpy()[at]
-        counts = np.bincount(_groups(a)) if len(a) else np.zeros(0, np.int64)
-        alive = counts[_groups(a)] > 1 if len(a) else np.zeros(0, bool)
-        at, a, b = at[alive], a[alive], b[alive]
-        order = np.lexsort((b, a))
-        at, a, b = at[order], a[order], b[order]
-        keep = spans
-        if len(at):
-            group = _groups(a, b)
-            repeated = np.bincount(group) > 1
-            keep = np.concatenate([spans, at[repeated[group] & (kind[at] == OPEN)]])
-        if not len(keep):
-            return None
-        out = table.select(["doc_id", "tag", "low", "high"]).take(pa.array(np.sort(keep)))
-        return out.combine_chunks().to_batches()[0]
-
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        d1 = batch.column(0).to_numpy()
-        begin = int(np.searchsorted(d1, d1[-1], side="left"))
-        if begin:
-            if (out := judged(pa.Table.from_batches([*held, batch.slice(0, begin)]))) is not None:
+
+def _refine(length: int):
+    half = length // 2
+
+    def contents(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        """The windows of whole contents; those with one first digit stand in one table."""
+        low, high = table.column("low").to_numpy(), table.column("high").to_numpy()
+        counts = (high - low).astype(np.int64)
+        x = np.frombuffer(b"".join(table.column("bytes").to_pylist()), np.uint8)
+        begin = np.cumsum(counts - 1 + length) - (counts - 1 + length)
+        row = np.repeat(np.arange(len(counts)), counts)
+        off = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+        at = begin[row] + off
+        again = _repeats(rolling(x, half, HALF_BASE)[at], rolling(x, length - half, HALF_BASE)[at + half])
+        again &= (table.column("kind").to_numpy() == CONTENT)[row]
+        if again.any():
+            r, a, b = _joined(row[again], (low[row] + off)[again])
+            rows = pa.array(r)
+            for out in table.select(["key", "tag"]).take(rows).append_column("low", pa.array(a.astype(np.int32))).append_column("high", pa.array(b.astype(np.int32))).combine_chunks().to_batches():
                 yield out
-            held = []
-        held.append(batch.slice(begin))
-    if held and (out := judged(pa.Table.from_batches(held))) is not None:
-        yield out
+
+    def judged(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        kind = table.column("kind").to_numpy()
+        whole = np.flatnonzero(kind >= CONTENT)
+        if len(whole):
+            yield from contents(table.take(pa.array(whole)))
+        windows = np.flatnonzero(kind <= KNOWN)
+        again = windows[_repeats(table.column("d1").to_numpy()[windows], table.column("d2").to_numpy()[windows])]
+        keep = np.union1d(np.flatnonzero(kind == SPAN), again[kind[again] == OPEN])
+        if len(keep):
+            yield from table.select(["key", "tag", "low", "high"]).take(pa.array(keep)).combine_chunks().to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            d1 = batch.column(0).to_numpy()
+            begin = int(np.searchsorted(d1, d1[-1], side="left"))
+            if begin:
+                yield from judged(pa.Table.from_batches([*held, batch.slice(0, begin)]))
+                held = []
+            held.append(batch.slice(begin))
+        if held:
+            yield from judged(pa.Table.from_batches(held))
+
+    return run
 
 
-def _same_row(a: DataFrame, b: DataFrame):
-    return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["tag"] == b["tag"])
+def keyed(docs: DataFrame) -> DataFrame:
+    """The rows with two 64-bit hashes of doc_id and text, which tell rows apart, dealt out by them."""
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return docs.withColumns({"_key": F.xxhash64("doc_id", "text"), "_tag": F.xxhash64("text", F.lit(1), "doc_id")}).repartition(parts, "_key", "_tag")
 
 
-def repeated_spans(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """doc_id, tag (hash of the text) and spans: where windows of `length` bytes that repeat begin, as an array of (low, high)."""
+def repeated_spans(docs: DataFrame, dealt: DataFrame, *, length: int = LENGTH, gram: int = GRAM, many: int = MANY) -> DataFrame:
+    """_key, _tag and _spans: where windows of `length` bytes that repeat begin, as an array of (low, high). `dealt` is keyed(docs)."""
     spark = docs.sparkSession
     small_batches(spark)
-    told = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tag"), "text")
+    told = docs.select(F.xxhash64("doc_id", "text").alias("key"), F.xxhash64("text", F.lit(1), "doc_id").alias("tag"), "text")
     found = told.where(F.octet_length("text") >= length).mapInArrow(_segments(length, gram), SEGMENT)
     live = found.groupBy("digit").agg(F.count("*").alias("n"), F.max("multi").alias("m")).where("n > 1 or m").select("digit")
     places = cut(found.join(live, "digit"))
 
-    contents = cut(places.groupBy("digit", "content").agg(F.count("*").alias("n"), F.max("multi").alias("multi"), F.min(F.struct("doc_id", "tag", "begin", "windows")).alias("one")))
-    mixed = contents.groupBy("digit").agg(F.count("*").alias("kinds"), F.max("multi").alias("m")).where("kinds > 1 or m").select("digit")
-    open_ = contents.join(mixed, "digit").select("one.*", (F.col("n") > 1).alias("done"))
-    wanted = open_.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("begin", "windows", "done")).alias("parts"))
-    texts = told.join(wanted, _same_row(told, wanted)).select(told["doc_id"], told["tag"], "text", "parts")
-    windows = texts.mapInArrow(_windows(length), WINDOWS)
+    contents = places.groupBy("digit", "content").agg(F.count("*").alias("n"), F.max("multi").alias("multi"), F.min(F.struct("key", "tag", "begin", "windows")).alias("one"))
+    mixed = contents.groupBy("digit").agg(F.count("*").alias("kinds"), F.max("multi").alias("m")).where("kinds > 1 or m")
+    wanted = contents.join(mixed, "digit").groupBy("one.key", "one.tag").agg(F.collect_list(F.struct("digit", F.col("one.begin").alias("begin"), F.col("one.windows").alias("windows"), (F.col("n") > 1).alias("done"), "kinds")).alias("parts"))
+    texts = dealt.join(wanted, (F.col("_key") == F.col("key")) & (F.col("_tag") == F.col("tag"))).select("key", "tag", "text", "parts", *(c for c in docs.columns if c != "text"))  # all columns, so that the exchange is used again below
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    partial = windows.repartition(parts, "d1").sortWithinPartitions("d1").mapInArrow(_refine, "doc_id long, tag long, low int, high int")
+    partial = texts.mapInArrow(_deal(length, many), WINDOWS).repartition(parts, "d1").sortWithinPartitions("d1").mapInArrow(_refine(length), "key long, tag long, low int, high int")
 
     copied = contents.where("n > 1").select("digit", "content")
-    whole = places.join(copied, ["digit", "content"]).select("doc_id", "tag", F.col("begin").alias("low"), (F.col("begin") + F.col("windows")).alias("high"))
-    return whole.union(partial).groupBy("doc_id", "tag").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    whole = places.join(copied, ["digit", "content"]).select("key", "tag", F.col("begin").alias("low"), (F.col("begin") + F.col("windows")).alias("high"))
+    return whole.union(partial).groupBy("key", "tag").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
 
 
-def _with_spans(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    spans = repeated_spans(docs, length=length, gram=gram)
-    left = docs.withColumn("_tag", F.xxhash64("text"))
-    return left.join(spans.select(F.col("doc_id").alias("_id"), F.col("tag").alias("_same"), F.col("spans").alias("_spans")), left["doc_id"].eqNullSafe(F.col("_id")) & (left["_tag"] == F.col("_same")), "left")
+def _with_spans(docs: DataFrame, **options) -> DataFrame:
+    dealt = keyed(docs)
+    spans = repeated_spans(docs, dealt, **options).select("key", "tag", F.col("spans").alias("_spans"))
+    return dealt.join(spans, (F.col("_key") == F.col("key")) & (F.col("_tag") == F.col("tag")), "left")
 
 
 def _kept(x: np.ndarray, spans: list[dict] | None, length: int) -> tuple[np.ndarray, int]:
@@ -245,7 +285,7 @@ def _kept(x: np.ndarray, spans: list[dict] | None, length: int) -> tuple[np.ndar
     return x[~gone], len(runs(gone)[0])
 
 
-def suffix_dedup(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, with_text: bool = False) -> DataFrame:
+def suffix_dedup(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, many: int = MANY, with_text: bool = False) -> DataFrame:
     """Per document doc_id, n_bytes, n_removed, n_spans and kept_sha256 (and the kept text, if asked for).
 
     Every byte of a window of `length` bytes that also begins elsewhere is removed. Null text is empty; empty and shorter texts
@@ -268,28 +308,29 @@ def suffix_dedup(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, wit
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept string" * with_text
     names = [x.split()[0] for x in schema.split(", ")]
-    return _with_spans(docs.select("doc_id", "text"), length, gram).select("doc_id", "text", "_spans").mapInArrow(run, schema)
+    return _with_spans(docs.select("doc_id", "text"), length=length, gram=gram, many=many).select("doc_id", "text", "_spans").mapInArrow(run, schema)
 
 
 def remove_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """The documents without their repeated windows; n_chars, if there is one, counts what is left."""
     names, schema = docs.columns, docs.schema
+    rest = [n for n in names if n not in ("doc_id", "text")]
+    packed = docs.select("doc_id", "text", *([F.struct(*rest).alias("_rest")] if rest else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             data, offsets = utf8(batch)
-            at = names.index("text")
-            nulls = batch.column(at).is_null().to_pylist()
-            texts = [None if null else _kept(data[offsets[i] : offsets[i + 1]], spans, length)[0].tobytes().decode("utf-8", "ignore") for i, (spans, null) in enumerate(zip(batch.column(len(names)).to_pylist(), nulls, strict=True))]
-            columns = list(batch.columns[: len(names)])
-            columns[at] = pa.array(texts, pa.string())
-            if "n_chars" in names:
-                columns[names.index("n_chars")] = pa.array([None if t is None else len(t) for t in texts], columns[names.index("n_chars")].type)
-            yield pa.record_batch(columns, names)
-
-    return _with_spans(docs, length, gram).select(*names, "_spans").mapInArrow(run, StructType(schema.fields))
+            nulls = batch.column(1).is_null().to_pylist()
+            texts = [None if null else _kept(data[offsets[i] : offsets[i + 1]], spans, length)[0].tobytes().decode("utf-8", "ignore") for i, (spans, null) in enumerate(zip(batch.column(2).to_pylist(), nulls, strict=True))]
+            columns = {"doc_id": batch.column(0), "text": pa.array(texts, pa.string())}
+            columns |= {n: c for n, c in zip(rest, batch.column(3).flatten(), strict=True)} if rest else {}
+            if "n_chars" in rest:
+                columns["n_chars"] = pa.array([None if t is None else len(t) for t in texts], columns["n_chars"].type)
+            yield pa.record_batch([columns[n] for n in names], names)
+
+    return _with_spans(packed, length=length, gram=gram).select("doc_id", "text", "_spans", *(["_rest"] if rest else [])).mapInArrow(run, StructType(schema.fields))
 
 
 def op9_suffix_radix(spark: SparkSession, sf_dir: str) -> DataFrame:

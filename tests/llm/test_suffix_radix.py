@@ -45,10 +45,11 @@ def test_small_alphabets_periods_and_odd_rows(spark):
     df = spark.createDataFrame([(*r, "x", 0) for r in rows], "doc_id long, text string, tag string, digit int").repartition(5)
     got = sorted(map(tuple, suffix_dedup(df, length=16, gram=4).collect()), key=str)
     assert got == brute(rows, 16)
+    assert sorted(map(tuple, suffix_dedup(df, length=16, gram=4, many=3).collect()), key=str) == got
     assert suffix_dedup(df.limit(0), length=16, gram=4).count() == 0
 
 
 def test_stage_keeps_columns(spark):
-    df = spark.createDataFrame([(1, "0123456789abcdefXYZ", "en", 19), (2, "0123456789abcdef", "de", 16), (3, None, "fr", None)], "doc_id long, text string, lang string, n_chars long")
+    df = spark.createDataFrame([(1, "0123456789abcdefXYZ", "en", 19), (2, "0123456789abcdef", "de", 16), (3, None, "fr", None)], "doc_id long, text string, key string, n_chars long")
     got = sorted(map(tuple, remove_repeats(df, length=16, gram=4).collect()))
     assert got == [(1, "XYZ", "en", 3), (2, "", "de", 0), (3, None, "fr", None)]
