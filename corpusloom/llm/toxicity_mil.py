@@ -24,7 +24,7 @@ STOPS = frozenset(".!?\n")
 SLOTS, STEMS = 1 << 18, (4, 5, 6)
 #: Labelled documents of each class that the model is fitted on, at most: those with the least hashes of their ids.
 SAMPLE = 3000
-EPOCHS, RATE, SHRINK, START = 80, 0.2, 2e-5, -10.0
+EPOCHS, RATE, SHRINK, START = 160, 0.3, 2e-4, -10.0
 CACHE = 500_000
 
 
