@@ -29,7 +29,7 @@ from .common import covered, cut, documents, mix, powers, rolling, runs, sliding
 
 LENGTH, GRAM = 400, 50
 #: Contents with one first digit that meet in one task.
-MANY = 512
+MANY = 4096
 #: Odd bases of the hashes.
 GRAM_BASE, CONTENT_BASE, HALF_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
 #: Bytes of texts that are taken together (a longer text is taken alone).
