@@ -15,59 +15,88 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from array import array
 from collections import deque
 
 import numpy as np
 import pyarrow as pa
-from public_tokenizers import path
+from public_tokenizers import PATTERN, path
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe_pairs import byte_letters
 from .common import documents, small_batches, texts
 
 SIZE, END_ID = 1024, 0
 #: Cost of a cut inside a document, in tokens of padding: at a sentence end, elsewhere. Elsewhere is tried every STRIDE tokens.
 SENTENCE_CUT, TOKEN_CUT, STRIDE = 2.0, 12.0, 48
-CACHE = 300_000
+CACHE = 600_000
 #: A space beside other white space: such a text isn't cut at its spaces.
 TIED = re.compile(r"\s (?:\s|\Z)")
+#: Letters, then ASCII punctuation: the pre-tokenizer's pieces of such a word.
+LATIN = re.compile(r"([A-Za-zªµºÀ-ÖØ-öø-ɏ]+)([!-/:-@\[-`{-~]*)")
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-class WordIds:
-    """Ids of whole texts by the tokenizers library; words that recur are looked up.
+class WordIds(dict):
+    """Ids of whole texts as the tokenizers library gives them; words that recur are looked up.
 
     The pre-tokenizer begins a new piece at each space that has white space on at most one side, so the text between two such
-    spaces can be encoded by itself.
+    spaces can be encoded by itself. Where the vocabulary lists its merges in the order of their ids, which makes ids ranks, new words are
+    encoded by tiktoken with those ranks; a word that may hold a special token, and any other vocabulary, by the library itself.
     """
 
     def __init__(self, file: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tok = Tokenizer.from_file(file)
         self.tok.no_truncation()
         self.tok.no_padding()
-        self.cache: dict[str, bytes] = {}
         with open(file, encoding="utf-8") as f:
-            vocab: dict[str, int] = json.load(f)["model"]["vocab"]
+            spec = json.load(f)
+        vocab: dict[str, int] = spec["model"]["vocab"]
         self.ends = np.zeros(max(self.tok.get_vocab_size(), *vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if set(".!?Ċ") & set(t)]] = True
-
-    def raw(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tok.encode_batch(texts, add_special_tokens=False)]
+        self.marks = sorted({x["content"][:2] for x in spec["added_tokens"]})
+        merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in spec["model"]["merges"]]
+        ranked = [vocab[t] for t in merged] == list(range(len(vocab) - len(merged), len(vocab)))
+        plain = spec["normalizer"] is None and spec["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+        self.core = None
+        if ranked and plain:
+            back = {c: b for b, c in enumerate(byte_letters())}
+            self.core = tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks={bytes(back[c] for c in t): i for t, i in vocab.items()}, special_tokens={})._core_bpe
+
+    def by_library(self, text: str) -> bytes:
+        return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def __missing__(self, word: str) -> bytes:
+        if self.core is None or any(m in word for m in self.marks):
+            ids = self.by_library(word[1:] if word[:1] == " " else " " + word)
+        elif plain := LATIN.fullmatch(word):
+            if plain[2]:
+                ids = self[plain[1]] + self[" " + plain[2]]
+            else:
+                ids = array("I", self.core.encode_single_piece(f" {word}".encode())).tobytes()
+        else:
+            ids = array("I", self.core.encode_ordinary(word[1:] if word[:1] == " " else " " + word)).tobytes()
+        self[word] = ids
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        cache = self.cache
-        if len(cache) > CACHE:
-            cache.clear()
-        # the first word has no space before it: it is kept under a key that no other word has
-        split = [None if TIED.search(t) else ((words := t.split(" ")), words.__setitem__(0, " " + words[0]))[0] for t in texts]
-        new = list({w for words in split if words for w in words if w not in cache})
-        if new:
-            cache.update(zip(new, self.raw([w[1:] if w[:1] == " " else " " + w for w in new]), strict=True))
-        whole = iter(self.raw([t for t, words in zip(texts, split, strict=True) if words is None]))
-        return [next(whole) if words is None else b"".join([cache[w] for w in words]) for words in split]
+        if len(self) > CACHE:
+            self.clear()
+        out = []
+        for text in texts:
+            if TIED.search(text):
+                out.append(self.by_library(text))
+                continue
+            words = text.split(" ")
+            words[0] = " " + words[0]  # the first word has no space before it: a key that no other word has
+            out.append(b"".join(map(self.__getitem__, words)))
+        return out
 
 
 def cut_points(length: int, doc_ends: np.ndarray, sentence_ends: np.ndarray, size: int = SIZE, sentence_cut: float = SENTENCE_CUT, token_cut: float = TOKEN_CUT, stride: int = STRIDE) -> np.ndarray:
