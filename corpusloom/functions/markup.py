@@ -7,10 +7,22 @@ import xml.etree.ElementTree as ET
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, DataType, IntegerType, LongType, StringType, StructField, StructType
 
-ARXIV = "arxiv_id string, version int, arxiv_url string, doi string, title string, abstract string, authors string, affiliation string, primary_category string, categories string, published string, updated string, journal_ref string, comment string, pdf_url string"
-FEED = f"total long, start long, per_page long, error string, entries array<struct<{', '.join(f'{n}:{t}' for n, t in (x.split(' ') for x in ARXIV.split(', ')))}>>"
-CHECK = "ok boolean, reason string"
+
+
+def fields(**kinds: DataType) -> StructType:
+    """A struct type, made without a session: executors import this module too."""
+    return StructType([StructField(n, k) for n, k in kinds.items()])
+
+
+STRING, WHOLE = StringType(), LongType()
+ARXIV = fields(
+    arxiv_id=STRING, version=IntegerType(), arxiv_url=STRING, doi=STRING, title=STRING, abstract=STRING, authors=STRING, affiliation=STRING, primary_category=STRING, categories=STRING, published=STRING, updated=STRING,
+    journal_ref=STRING, comment=STRING, pdf_url=STRING,
+)
+FEED = fields(total=WHOLE, start=WHOLE, per_page=WHOLE, error=STRING, entries=ArrayType(ARXIV))
+CHECK = fields(ok=BooleanType(), reason=STRING)
 
 
 def name(el: ET.Element) -> str:
@@ -66,7 +78,7 @@ def _feed(text: str | None) -> dict:
 @F.pandas_udf(FEED)
 def atom_feed(text: pd.Series) -> pd.DataFrame:
     """Totals, error and entries of an arXiv Atom feed."""
-    return pd.DataFrame([_feed(t) for t in text], columns=[x.split(" ")[0] for x in ("total long", "start long", "per_page long", "error string", "entries x")])
+    return pd.DataFrame([_feed(t) for t in text], columns=FEED.names)
 
 
 def jats_doi(record: ET.Element) -> str | None:
@@ -77,7 +89,7 @@ def jats_doi(record: ET.Element) -> str | None:
     return None
 
 
-@F.pandas_udf("array<struct<doi:string,xml:string>>")
+@F.pandas_udf(ArrayType(fields(doi=STRING, xml=STRING)))
 def jats_records(text: pd.Series) -> pd.Series:
     """Articles and book parts of a batch response, with their DOIs; none if it is malformed."""
 
@@ -89,7 +101,7 @@ def jats_records(text: pd.Series) -> pd.Series:
     return text.map(records)
 
 
-@F.pandas_udf("code string, message string")
+@F.pandas_udf(fields(code=STRING, message=STRING))
 def service_error(text: pd.Series) -> pd.DataFrame:
     """Status of a service-error document, nulls if it is none."""
     rows = []
@@ -100,7 +112,7 @@ def service_error(text: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["code", "message"])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(STRING)
 def pmcid(text: pd.Series) -> pd.Series:
     """PMCID of a JATS article, with its prefix."""
 

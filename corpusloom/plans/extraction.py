@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from ..functions.text import is_missing, rstrip_lines
 
@@ -22,7 +23,7 @@ def prompt(title: str | None, body: str | None) -> str:
 def classified(papers: DataFrame, client: Callable[[list[str]], list[bool]], name: str = "is_match") -> DataFrame:
     """Papers with the verdict of `client` over batches of prompts; false without a title or abstract, and where the client fails."""
 
-    @F.pandas_udf("boolean")
+    @F.pandas_udf(BooleanType())
     def ask(title: pd.Series, abstract: pd.Series) -> pd.Series:
         try:
             return pd.Series(client([prompt(t, a) for t, a in zip(title, abstract, strict=True)]), dtype="boolean")

@@ -107,18 +107,22 @@ def terms(df: DataFrame, group: str, text: Column, sep: str) -> DataFrame:
 def containment(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, item_id) where a document contains an item's whole text.
 
-    Candidates share the hash of the item's first 32 characters with a place of the document, found by an equi-join of distinct hashes; only they
-    are compared. Items shorter than that are compared through their own length as a key.
+    The inner words of an item stand as whole words in a document that contains it, so candidates share a run of up to four of them, found by an
+    equi-join of hashes; only candidates are compared. Items of one or two words share a run of their characters instead.
     """
-    items = items.where(F.length("text") > 0).select("item_id", F.col("text").alias("item"), F.least(F.length("text"), F.lit(32)).alias("k"))
-    keys = items.select("item_id", "item", "k", F.xxhash64(F.substring("item", 1, 32)).alias("key"))
-    short = [r["k"] for r in keys.select("k").distinct().collect()]  # at most 32 lengths
-    places = None
-    for k in short:
-        at = F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("text") - (k - 1)), lambda i, k=k: F.xxhash64(F.substring("text", i, F.lit(k)))))).alias("key")
-        part = docs.where(F.length("text") >= k).select("doc_id", F.lit(k).alias("k"), at)
-        places = part if places is None else places.unionByName(part)
-    if places is None:
-        return docs.select("doc_id").join(items.select("item_id"), F.lit(False))
-    found = places.join(keys.select("item_id", "k", "key"), ["k", "key"]).select("doc_id", "item_id").distinct()
-    return found.join(docs.select("doc_id", "text"), "doc_id").join(items.select("item_id", "item"), "item_id").where(F.contains("text", "item")).select("doc_id", "item_id")
+    words = lambda c: F.split(c, r"\s+")
+    items = items.where(F.length("text") > 0).select("item_id", F.col("text").alias("item"))
+    long, short = items.where(F.size(words(F.col("item"))) > 2), items.where(F.size(words(F.col("item"))) <= 2)
+    width = F.least(F.size(words(F.col("item"))) - 2, F.lit(4))
+    keyed = long.select("item_id", width.alias("k"), F.xxhash64(F.slice(words(F.col("item")), F.lit(2), width)).alias("key"))
+    runs = F.transform(F.sequence(F.lit(1), F.size("w")), lambda i: F.transform(F.sequence(F.lit(1), F.lit(4)), lambda k: F.struct(k.alias("k"), F.xxhash64(F.slice("w", i, k)).alias("key"))))
+    listed = docs.select("doc_id", F.explode(F.array(words(F.col("text")))).alias("w"))  # a generator, so that the text is split once
+    at = listed.select("doc_id", F.explode(F.flatten(runs)).alias("r")).select("doc_id", "r.k", "r.key")
+    found = at.join(keyed, ["k", "key"]).select("doc_id", "item_id")
+    for n in sorted(r["n"] for r in short.select(F.least(F.length("item"), F.lit(32)).alias("n")).distinct().collect()):  # at most 32 lengths
+        chars = F.transform(F.sequence(F.lit(1), F.length("text") - (n - 1)), lambda i, n=n: F.xxhash64(F.substring("text", i, F.lit(n))))
+        places = docs.where(F.length("text") >= n).select("doc_id", F.explode(F.array_distinct(chars)).alias("key"))
+        these = short.where(F.least(F.length("item"), F.lit(32)) == n).select("item_id", F.xxhash64(F.substring("item", 1, n)).alias("key"))
+        found = found.unionByName(places.join(these, "key").select("doc_id", "item_id"))
+    near = found.distinct().join(docs.select("doc_id", "text"), "doc_id").join(items, "item_id")
+    return near.where(F.contains("text", "item")).select("doc_id", "item_id")

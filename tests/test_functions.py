@@ -1,0 +1,101 @@
+import difflib
+import html
+import unicodedata
+
+from pyspark.sql import functions as F
+
+from corpusloom.functions import convert as C
+from corpusloom.functions import markup as M
+from corpusloom.functions import similarity as S
+from corpusloom.functions import text as T
+from corpusloom.functions import unicode as U
+
+
+def values(spark, fn, rows, schema="x string"):
+    df = spark.createDataFrame([(i, *((r,) if not isinstance(r, tuple) else r)) for i, r in enumerate(rows)], f"i int, {schema}")
+    return [r[0] for r in df.select("i", fn(*(F.col(c.split(" ")[0]) for c in schema.split(", "))).alias("y")).orderBy("i").select("y").collect()]
+
+
+def test_dois(spark):
+    rows = [None, "", "   ", "\n", "10.1/x", "DOI: 10.1/X", "https://doi.org/10.1/x", "http://dx.doi.org/10.1/x?y#z", "10.1/x.;,", "doi:"]
+    assert values(spark, T.doi_strict, rows) == [None, "", "", "", "10.1/x", "10.1/x", "10.1/x", "10.1/x", "10.1/x.;,", ""]
+    assert values(spark, T.doi_loose, rows) == [None, None, None, None, "10.1/x", "10.1/x", "10.1/x", "10.1/x?y#z", "10.1/x", None]
+
+
+def test_arxiv_ids(spark):
+    rows = ["http://arxiv.org/abs/2101.12345v3", "http://arxiv.org/abs/2101.12345", "http://arxiv.org/abs/hep-th/9901001v1", "http://arxiv.org/abs/cond-mat/9901001v1/"]
+    assert values(spark, T.arxiv_id, rows) == ["2101.12345", "2101.12345", "9901001", "9901001"]
+    assert values(spark, T.arxiv_id_full, rows) == ["2101.12345", "2101.12345", "hep-th/9901001", "cond-mat/9901001"]
+    assert values(spark, T.arxiv_version, rows) == [3, None, 1, 1]
+
+
+def test_titles_and_markup(spark):
+    rows = [None, "  α-Poly&amp;<i>Styrene</i> ", "Ｆｕｌｌ ﬁt, H₂O", "a_b—c"]
+    assert values(spark, U.title_full, rows) == [None, "alpha poly styrene", "full fit h2o", "a_b c"]
+    assert values(spark, T.title_basic, ["A_b-C, d!", "É x"]) == ["a_b c d", "é x"]
+    assert values(spark, T.strip_markup, ["<jats:title>Abstract</jats:title><p>a  b</p>", "<p></p>", None]) == ["a b", None, None]
+    assert values(spark, U.clean_abstract, ["<p>a &amp; b</p>"]) == ["a & b"]
+    assert values(spark, T.tidy_abstract, ["A  b , c .", None]) == ["a b, c.", ""]
+    assert values(spark, U.nfkc, ["ﬁ"]) == [unicodedata.normalize("NFKC", "ﬁ")] and values(spark, U.unescape, ["&lt;"]) == [html.unescape("&lt;")]
+    assert values(spark, T.is_missing, [None, "", "  \n", "x"]) == [True, True, True, False]
+    assert values(spark, T.is_filled_sql, [None, " ", "\n"]) == [False, False, True]
+
+
+def test_lists_and_messages(spark):
+    assert values(spark, T.first_seen, [(["B", "a", "A", " b ", None, ""],)], "x array<string>") == [["B", "a"]]
+    assert values(spark, T.inverted_text, [({"b": [1, 3], "a": [0, 2]},), ({},)], "x map<string,array<int>>") == ["a b a b", None]
+    author = "x array<struct<given:string,family:string,name:string,affiliation:array<struct<name:string>>>>"
+    people = [([("A", "B", None, [("X",), ("x",)]), (None, None, "Group", None), (None, "C", "ignored", [("Y",)])],), (None,)]
+    assert values(spark, T.crossref_authors, people, author) == ["A B; Group; C", None]
+    assert values(spark, T.crossref_affiliations, people, author) == ["X; Y", None]
+    alex = "x array<struct<author:struct<display_name:string>,institutions:array<struct<display_name:string>>,raw_affiliation_strings:array<string>>>"
+    works = [([(("P Q",), [("Uni",)], ["uni", "Lab"]), ((None,), None, ["Lab 2"])],)]
+    assert values(spark, T.openalex_authors, works, alex) == ["P Q"]
+    assert values(spark, T.openalex_affiliations, works, alex) == ["Uni; Lab; Lab 2"]
+    assert values(spark, T.scopus_affiliation, [([("N", None, "C"), (None, " ", None), ("M", "B", "D")],)], "x array<struct<affilname:string,city:string,country:string>>") == ["N, C; M, B, D"]
+    assert values(spark, T.redact, ["GET /x?apiKey=abc&y=1", "X-ELS-APIKey: abc", "Authorization: Bearer t0k"]) == ["GET /x?apiKey=***&y=1", "X-ELS-APIKey: ***", "Authorization: ***"]
+    assert values(spark, T.safe_filename, ["a/b\\c:d?e"]) == ["a_b_c_d_e"] and values(spark, T.rstrip_lines, ["a \nb\t"]) == ["a\nb"]
+
+
+def test_conversions(spark):
+    assert values(spark, C.yes_flag, ["Y", "N", None]) == [1, 0, None]
+    assert values(spark, C.whole_number, [" 12 ", "x", None]) == [12, None, None]
+    assert values(spark, C.string_list, ['["a"]', "", "bad", None, '{"a":1}']) == [["a"], [], [], [], []]
+    assert values(spark, C.has_history, [None, "", "[]", "null", "None", "bad", "[{}]"]) == [False, False, False, False, False, True, True]
+    assert values(spark, C.history_length, ["[]", '[{"source":"a"}]', "bad"]) == [0, 1, None]
+    assert values(spark, C.epoch_iso, [(0,)], "x long") == ["1970-01-01T00:00:00Z"]
+    assert values(spark, C.http_outcome, [(200,), (404,), (None,), (418,)], "x int") == ["SUCCESS", "UNKNOWN_DOI", "NETWORK_ERROR", "OTHER_ERROR"]
+    assert values(spark, C.parts_year, [([[2020, 1]],), ([],)], "x array<array<int>>") == [2020, None]
+    assert values(spark, lambda x: C.header_int(x, "X-RateLimit-Remaining"), [({"x-ratelimit-remaining": "5"},), ({},)], "x map<string,string>") == [5, None]
+
+
+def test_similarity(spark):
+    def slow(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            new = [0]
+            for j, y in enumerate(b):
+                new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+            row = new
+        return 200 * row[-1] / (len(a) + len(b)) if a or b else 100.0
+
+    pairs = [("", ""), ("", "a"), ("kitten", "sitting"), ("a" * 70 + "b", "b" + "a" * 90), ("polymer", "copolymers"), (None, "x")]
+    assert values(spark, S.ratio, pairs, "a string, b string") == [slow(a, b) if a is not None else None for a, b in pairs]
+    assert values(spark, S.partial_ratio, [("poly", "copolymers"), ("", "")], "a string, b string") == [100.0, 100.0]
+    assert values(spark, S.sequence_ratio, [("abcd", "bcde")], "a string, b string") == [difflib.SequenceMatcher(None, "abcd", "bcde").ratio()]
+    assert values(spark, S.titles_agree, [("poly", "poly styrene"), (None, "x")], "a string, b string") == [True, False]
+
+
+def test_markup(spark):
+    feed = '<feed xmlns="http://www.w3.org/2005/Atom" xmlns:o="http://a9.com/-/spec/opensearch/1.1/"><o:totalResults>7</o:totalResults><entry><id>http://arxiv.org/abs/2101.1v2</id><title>T\n t</title><summary>S</summary><author><name>A</name><affiliation>X</affiliation></author><category term="c1"/><link title="pdf" href="u"/></entry></feed>'
+    f, bad = values(spark, M.atom_feed, [feed, "<x"])
+    assert (f.total, f.entries[0].arxiv_id, f.entries[0].version, f.entries[0].title, f.entries[0].pdf_url) == (7, "2101.1", 2, "T t", "u") and bad.error == "malformed feed"
+    article = '<response><records><article><front><article-meta><article-id pub-id-type="doi">10.1/A</article-id><article-id pub-id-type="pmc">12</article-id></article-meta></front></article></records></response>'
+    assert [r.doi for r in values(spark, M.jats_records, [article])[0]] == ["10.1/A"]
+    one = article.replace("<response><records>", "").replace("</records></response>", "")
+    assert tuple(values(spark, lambda x: M.valid_jats(x, F.lit("10.1/a")), [one])[0]) == (True, None)
+    assert tuple(values(spark, lambda x: M.valid_article(x, F.lit("PMC13")), [one])[0]) == (False, "PMCID mismatch")
+    assert values(spark, M.pmcid, [one, "<x"]) == ["PMC12", None]
+    assert tuple(values(spark, M.service_error, ["<service-error><status><statusCode>X</statusCode><statusText>y</statusText></status></service-error>"])[0]) == ("X", "y")
+    assert tuple(values(spark, M.valid_fulltext, ["<full-text-retrieval-response><originalText/></full-text-retrieval-response>"])[0]) == (True, None)
+    assert [M.pdf_verdict(b)[1] for b in (None, b"", b"x", b"%PDF-1.4", b"%PDF-1.4 /Encrypt %%EOF", b"%PDF-1.4 %%EOF", b"%PDF-1.4 /Type /Page %%EOF")] == ["missing", "empty", "no PDF header", "truncated", "encrypted", "no pages", None]
