@@ -17,7 +17,7 @@ def stream(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 def window_counts(events: DataFrame, late: str = "1 hour", width: str = "1 day", key: str = "event_type") -> DataFrame:
     """Counts and sums per tumbling window and key; rows later than `late` are dropped by the watermark."""
-    return events.withWatermark("ts", late).groupBy(F.window("ts", width).alias("w"), key).agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("w.start").alias("start"), key, "n", "total")
+    return events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late).groupBy(F.window("ts", width).alias("w"), key).agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("w.start").alias("start"), key, "n", "total")
 
 
 def _step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
