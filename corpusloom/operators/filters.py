@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import contains_ci, is_filled_sql, is_missing
 
-#: Statuses that a failed search leaves behind.
+#: Statuses that a search leaves behind where it settled the matter.
 SETTLED = ("scopus_search", "scopus_no_abstract", "scopus_not_found", "scopus_error")
 
 
