@@ -196,12 +196,3 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         now = cut(small.select(F.col("m").alias("x"), F.col("a").alias("y")).union(low.select("m", "u")).where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
     roots = now.select(F.col("a").alias("node"), F.col("a").alias("component"))
     return now.select(F.col("b").alias("node"), F.col("a").alias("component")).union(roots.distinct())
-
-
-def remove_shared(path: str) -> None:
-    """Delete a local shared path; stores that only Spark reads are left to the cluster's own cleaning."""
-    import shutil
-
-    if path.startswith("file:") or path.startswith("/"):
-        shutil.rmtree(path.removeprefix("file://").removeprefix("file:"), ignore_errors=True)
-
