@@ -12,6 +12,7 @@ import heapq
 import json
 import re
 from collections.abc import Iterable
+from operator import itemgetter
 
 import pyarrow as pa
 from public_tokenizers import path
@@ -24,7 +25,8 @@ PLAIN = re.compile("[!-~À-ÖØ-öø-įı-ž]+")
 LETTER = "a-zß-öø-ž"
 PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[0-9]|[^\s{LETTER}0-9]+")
 #: Words kept with their tokens between batches.
-CACHE = 300_000
+CACHE = 500_000
+COUNT = itemgetter(2)
 
 
 def byte_letters() -> list[str]:
@@ -58,6 +60,7 @@ class PairIndexBpe:
         self.file = file
         self.slow = None
         self.cache: dict[bytes, tuple[str, str, int]] = {}
+        self.known: dict[bytes, list[int]] = {}
 
     def pieces(self, word: str) -> list[bytes]:
         """Normalised pieces of a word without white space, as bytes."""
@@ -131,7 +134,7 @@ class PairIndexBpe:
     def learn(self, words: Iterable[bytes]) -> None:
         """Put the tokens of new words into the cache."""
         plans: list[tuple[bytes, list[int | bytes]]] = []
-        index: dict[bytes, int] = {}
+        known, new = self.known, dict[bytes, None]()
         for raw in words:
             word = raw.decode("utf-8", "replace")
             plan: list[int | bytes] = []
@@ -141,17 +144,18 @@ class PairIndexBpe:
                     plan.append(self.special[part])
                 elif part:
                     for p in self.pieces(part):
-                        index.setdefault(p, len(index))
+                        if p not in known:
+                            new[p] = None
                         plan.append(p)
             plans.append((raw, plan))
-        coded = self.encode_pieces(list(index))
+        known.update(zip(new, self.encode_pieces(list(new)), strict=True))
         for raw, plan in plans:
             ids: list[int] = []
             for p in plan:
                 if isinstance(p, int):
                     ids.append(p)
                 else:
-                    ids += coded[index[p]]
+                    ids += known[p]
             self.cache[raw] = (" ".join(map(str, ids)), self.decode(ids), len(ids))
 
     def decode(self, ids: Iterable[int]) -> str:
@@ -164,11 +168,13 @@ class PairIndexBpe:
         cache = self.cache
         if len(cache) > CACHE:
             cache.clear()
+            self.known.clear()
         split = [raw.split() for raw in raws]
-        if new := {w for words in split for w in words if w not in cache}:
+        if new := set().union(*split) - cache.keys():
             self.learn(new)
         for words in split:
-            yield [x for w in words if (x := cache[w])[2]]
+            rows = list(map(cache.__getitem__, words))
+            yield rows if all(map(COUNT, rows)) else [x for x in rows if x[2]]
 
     def encode(self, text: str) -> list[int]:
         return [int(i) for rows in self.encode_words([text.encode("utf-8", "replace")]) for x in rows for i in x[0].split()]
@@ -196,9 +202,10 @@ def bpe_encode(docs: DataFrame, file: str, *, text: str = "text", id: str = "doc
         bpe = model(file)
         rows: dict[str, list] = {k: [] for k in ("n_tokens", *outputs)}
         for words in bpe.encode_words([t.encode("utf-8", "replace") for t in texts(batch, text)]):
-            rows["n_tokens"].append(sum([x[2] for x in words]))
-            ids = " ".join([x[0] for x in words]) if {"ids", "ids_sha256"} & {*outputs} else ""
-            said = " ".join([x[1] for x in words]) if {"decoded", "decoded_sha256"} & {*outputs} else ""
+            coded, decoded, counts = zip(*words, strict=True) if words else ((), (), ())
+            rows["n_tokens"].append(sum(counts))
+            ids = " ".join(coded) if {"ids", "ids_sha256"} & {*outputs} else ""
+            said = " ".join(decoded) if {"decoded", "decoded_sha256"} & {*outputs} else ""
             for k in outputs:
                 rows[k].append([int(i) for i in ids.split()] if k == "ids" else said if k == "decoded" else hashlib.sha256((ids if k == "ids_sha256" else said).encode()).hexdigest())
         return pa.record_batch([batch.column(0).cast(pa.int64()), pa.array(rows["n_tokens"], pa.int64()), *(pa.array(rows[k], kinds[k][1]) for k in outputs)], [id, "n_tokens", *outputs])
