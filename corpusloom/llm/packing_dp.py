@@ -30,7 +30,7 @@ from .common import documents, small_batches, texts
 SIZE, END_ID = 1024, 0
 #: Cost of a cut inside a document, in tokens of padding: at a sentence end, elsewhere. Elsewhere is tried every STRIDE tokens.
 SENTENCE_CUT, TOKEN_CUT, STRIDE = 2.0, 12.0, 48
-CACHE = 600_000
+CACHE = 300_000
 #: A space beside other white space: such a text isn't cut at its spaces.
 TIED = re.compile(r"\s (?:\s|\Z)")
 #: Letters, then ASCII punctuation: the pre-tokenizer's pieces of such a word.
