@@ -1,15 +1,10 @@
 """Substring deduplication by repeated-phrase automata.
 
-A passage is a window of consecutive words that also begins in a document with a smaller doc_id. The phrases that recur are
-confirmed first, and cheaply; then automata find where they stand:
-
-1.  Sieve. The phrase of a window is its run of words with the least hash. Neighbouring windows mostly share it, so a run of windows
-    with one phrase (a segment) is one row. Phrases that begin in one document only are dropped.
-2.  Equal segments are one content, looked up as a whole: later documents lose all its windows.
-3.  Where a phrase stands in several contents, their windows are counted by a digest; those of two documents are the recurring
-    passages. Aho-Corasick automata (pyahocorasick, over numbered words) are compiled of them, a shard for each bounded lot of
-    phrases, and the contents of all documents stream through the automaton of their phrase, which finds every occurrence
-    word by word. A phrase with many contents is dealt to many streams, each with the phrase's automaton.
+A passage is a window of consecutive words that also begins in a document with a smaller doc_id. `windows` brings the contents that share a phrase
+together. Of these, the passages that recur in different documents are confirmed, word by word; Aho-Corasick automata (pyahocorasick, over
+numbered words) are compiled of them, a shard for each lot of at most `shard` passages; and the contents of all documents stream
+through the automata, which locate every occurrence. Nothing is removed that an automaton hasn't located: equal contents of many documents stream once, and
+what is located there holds for all of them.
 """
 
 from __future__ import annotations
@@ -23,225 +18,67 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import covered, cut, documents, mix, powers, rolling, small_batches, utf8
-from .suffix_radix import TOGETHER, groups_of, segments
+from .common import covered, documents
+from .windows import WORDS, Content, Runs, Told, alone, joined_runs, window_digests, with_spans
 
 WINDOW, GRAM = 50, 10
-WORD_BASE, WINDOW_BASE = 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
 #: Contents of a phrase that one stream takes; passages of one automaton.
-STREAM, SHARD = 512, 4000
-
-
-def word_hashes(x: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the words of texts that stand in `x` one after another, and where each text's words begin and end."""
-    word = ~((x == 32) | ((x >= 9) & (x <= 13)))
-    begin = word.copy()
-    begin[1:] &= ~word[:-1]
-    heads = starts[starts < len(x)]
-    begin[heads] = word[heads]
-    close = word.copy()
-    close[:-1] &= ~word[1:]
-    tails = ends[ends > 0] - 1
-    close[tails] = word[tails]
-    s, e = np.flatnonzero(begin), np.flatnonzero(close) + 1
-    up, down = powers(WORD_BASE, max(1, len(x)))
-    sums = np.zeros(len(x) + 1, np.uint64)
-    np.cumsum((x.astype(np.uint64) + np.uint64(1)) * up[: len(x)], out=sums[1:])
-    hashes = mix((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return hashes, np.searchsorted(s, starts), np.searchsorted(s, ends)
-
-
-def _sieve(window: int, gram: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            data, offsets = utf8(batch)
-            for i, j in groups_of(offsets, TOGETHER):
-                lo = offsets[i]
-                hashes, starts, ends = word_hashes(data[lo : offsets[j]], offsets[i:j] - lo, offsets[i + 1 : j + 1] - lo)
-                text, begin, windows, digit, content, _ = segments(hashes, starts, ends, window, gram)
-                if len(text):
-                    rows = pa.array(text + i)
-                    yield pa.record_batch(
-                        [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(digit.view(np.int64)), pa.array(content.view(np.int64)), pa.array(begin.astype(np.int32)), pa.array(windows.astype(np.int32))],
-                        ["doc_id", "tag", "phrase", "content", "begin", "windows"],
-                    )
-
-    return run
-
-
-CONTENT = "phrase long, content long, first long, kinds long, words binary"
-
-
-def _contents(window: int):
-    """Words of the contents that begin in each document, joined by one space."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for doc, text, parts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                words = text.encode("utf-8", "surrogatepass").split()
-                rows += [(p["phrase"], p["content"], doc, p["kinds"], b" ".join(words[p["begin"] : p["begin"] + p["windows"] - 1 + window])) for p in parts]
-            for i in range(0, len(rows), 5000):
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows[i : i + 5000], strict=True), (*[pa.int64()] * 4, pa.binary()), strict=True)], ["phrase", "content", "first", "kinds", "words"])
-
-    return run
-
-
-def _digests(window: int):
-    """Digest of each window of each content; of equal ones in a batch, those of the first and the last document."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            data, offsets = utf8(batch.set_column(3, "words", batch.column(3).cast(pa.large_binary()).cast(pa.large_string())), "words")
-            base = offsets[0]
-            hashes, starts, ends = word_hashes(data[base : offsets[-1]], offsets[:-1] - base, offsets[1:] - base)
-            digest = rolling(hashes, window, WINDOW_BASE)
-            counts = ends - starts - window + 1
-            row = np.repeat(np.arange(len(counts)), counts)
-            off = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-            digest = digest[starts[row] + off]
-            first = batch.column(2).to_numpy()[row]
-            order = np.lexsort((first, digest))
-            d = digest[order]
-            new = np.concatenate([[True], d[1:] != d[:-1]])
-            ends_ = np.append(np.flatnonzero(new)[1:], len(d)) - 1
-            keep = order[np.union1d(np.flatnonzero(new), ends_)]
-            rows = pa.array(row[keep])
-            yield pa.record_batch([pa.array(digest[keep].view(np.int64)), batch.column(2).take(rows), batch.column(0).take(rows), batch.column(1).take(rows), pa.array(off[keep].astype(np.int32))], ["digest", "first", "phrase", "content", "off"])
-
-    return run
-
-
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of digests that stand in several documents, where the first document has them. Rows come in the order of digest and first."""
-    held: list[pa.RecordBatch] = []
-
-    def judged() -> list[pa.RecordBatch]:
-        table = pa.Table.from_batches(held).combine_chunks()
-        d, first = table.column("digest").to_numpy(), table.column("first").to_numpy()
-        new = np.flatnonzero(np.concatenate([[True], d[1:] != d[:-1]]))
-        last = np.append(new[1:], len(d)) - 1
-        keep = new[first[new] < first[last]]
-        return (table.select(["phrase", "content", "off"]).take(pa.array(keep)).combine_chunks()).to_batches()
-
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        d = batch.column(0).to_numpy()
-        begin = int(np.searchsorted(d, d[-1], side="left"))
-        if begin:
-            held.append(batch.slice(0, begin))
-            yield from judged()
-            held = []
-        held.append(batch.slice(begin))
-    if held:
-        yield from judged()
-
-
-class Shard:
-    """An automaton over numbered words, of passages and the first document of each."""
-
-    def __init__(self, passages: dict[tuple[bytes, ...], int]):
-        self.numbers: dict[bytes, int] = {}
-        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-        for words, first in passages.items():
-            self.automaton.add_word(tuple([self.numbers.setdefault(w, len(self.numbers) + 1) for w in words]), first)
-        self.automaton.make_automaton()
-
-    def occurrences(self, words: list[bytes]) -> Iterator[tuple[int, int]]:
-        """Where a passage ends, and its first document; a word of no passage is number 0."""
-        get = self.numbers.get
-        return self.automaton.iter(tuple([get(w, 0) for w in words]))
-
-
-def _stream(window: int, shard: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: list[tuple[int, int, int, int]] = []
-
-        def flush(least: int) -> Iterator[pa.RecordBatch]:
-            if len(found) > least:
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*found, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], ["phrase", "content", "low", "high"])
-                found.clear()
-
-        def solve(rows: list[tuple]) -> None:
-            passages: dict[tuple[bytes, ...], int] = {}
-            split = [r[3].split(b" ") for r in rows]
-            for r, words in zip(rows, split, strict=True):
-                for o in r[4] or ():
-                    key = tuple(words[o : o + window])
-                    passages[key] = min(passages.get(key, r[2]), r[2])
-            keys = list(passages)
-            hits: dict[int, list[int]] = {}
-            for i in range(0, len(keys), shard):
-                lot = Shard({k: passages[k] for k in keys[i : i + shard]})
-                for n, (r, words) in enumerate(zip(rows, split, strict=True)):
-                    if r[5]:
-                        got = [end - window + 1 for end, first in lot.occurrences(words) if first < r[2]]
-                        if got:
-                            hits.setdefault(n, []).extend(got)
-            for n, at in hits.items():
-                at.sort()
-                low = high = at[0]
-                for a in [*at[1:], -1]:
-                    if a != high + 1:
-                        found.append((rows[n][0], rows[n][1], low, high + 1))
-                        low = a
-                    high = a
-
-        ready: list[tuple] = []
-        size = 0
-        key = None
-        for batch in batches:
-            for salt, phrase, content, first, words, offs, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if key != (phrase, salt):
-                    if size >= shard:
-                        solve(ready)
-                        ready, size = [], 0
-                        yield from flush(10_000)
-                    key = (phrase, salt)
-                ready.append((phrase, content, first, words, offs, own))
-                size += 1 + len(offs or ())
-        if ready:
-            solve(ready)
-        yield from flush(0)
-
-    return run
-
-
-def repeated_passages(base: DataFrame, *, window: int = WINDOW, gram: int = GRAM, stream: int = STREAM, shard: int = SHARD) -> DataFrame:
-    """doc_id, tag and spans: where windows begin that also begin in a document with a smaller doc_id. `base` has doc_id, tag and text."""
-    spark = base.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = base.where("doc_id is not null").where(F.octet_length("text") >= 2 * window - 1).select("doc_id", "tag", "text").mapInArrow(_sieve(window, gram), "doc_id long, tag long, phrase long, content long, begin int, windows int")
-    live = found.groupBy("phrase").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("phrase")
-    places = cut(found.join(live, "phrase"))
-
-    contents = places.groupBy("phrase", "content").agg(F.min(F.struct("doc_id", "tag", "begin", "windows")).alias("one"))
-    kinds = contents.groupBy("phrase").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    wanted = contents.join(kinds, "phrase").groupBy("one.doc_id", "one.tag").agg(F.collect_list(F.struct("phrase", "content", F.col("one.begin").alias("begin"), F.col("one.windows").alias("windows"), "kinds")).alias("parts"))
-    wanted = wanted.select(F.col("doc_id").alias("_doc"), F.col("tag").alias("_tag"), "parts")
-    dealt = base.repartition(parts, "doc_id", "tag")
-    sources = dealt.join(wanted, (F.col("doc_id") == F.col("_doc")) & (F.col("tag") == F.col("_tag"))).select("doc_id", "text", "parts").mapInArrow(_contents(window), CONTENT)
-
-    digests = sources.select("phrase", "content", "first", "words").mapInArrow(_digests(window), "digest long, first long, phrase long, content long, off int")
-    passages = digests.repartition(parts, "digest").sortWithinPartitions("digest", "first").mapInArrow(_confirm, "phrase long, content long, off int")
-    passages = passages.groupBy("phrase", "content").agg(F.collect_list("off").alias("offs"))
-    streams = F.ceil(F.col("kinds") / stream).cast("int")
-    own = F.pmod(F.xxhash64("content"), streams.cast("long")).cast("int")
-    salted = sources.join(passages, ["phrase", "content"], "left").select("*", own.alias("own"), F.explode(F.when(F.col("offs").isNull(), F.array(own)).otherwise(F.sequence(F.lit(0), streams - 1))).alias("salt"))
-    salted = salted.select("salt", "phrase", "content", "first", "words", "offs", (F.col("own") == F.col("salt")).alias("own"))
-    located = salted.repartition(parts, "phrase", "salt").sortWithinPartitions("phrase", "salt").mapInArrow(_stream(window, shard), "phrase long, content long, low int, high int")
-
-    whole = contents.select("phrase", "content", F.col("one.doc_id").alias("first"))
-    listed = located.groupBy("phrase", "content").agg(F.collect_list(F.struct("low", "high")).alias("some"))
-    told = places.join(whole.join(listed, ["phrase", "content"], "left"), ["phrase", "content"]).where("doc_id > first or some is not null")
-    shifted = F.transform("some", lambda s: F.struct((F.col("begin") + s["low"]).alias("low"), (F.col("begin") + s["high"]).alias("high")))
-    all_ = F.array(F.struct(F.col("begin").alias("low"), (F.col("begin") + F.col("windows")).alias("high")))
-    return told.select("doc_id", "tag", F.when(F.col("doc_id") > F.col("first"), all_).otherwise(shifted).alias("s")).groupBy("doc_id", "tag").agg(F.flatten(F.collect_list("s")).alias("spans"))
+STREAM, SHARD = 2048, 4000
+
+
+class Letters(dict):
+    """A letter for each word, so that a passage is a string; surrogates are left out, and there are as many letters as code points."""
+
+    def __missing__(self, word: bytes) -> str:
+        n = len(self) + 1
+        self[word] = letter = chr(n if n < 0xD800 else n + 0x800)
+        return letter
+
+
+def confirmed(texts: list[str], lot: list[Content], told: dict[tuple[int, bytes], Told], window: int) -> dict[str, int]:
+    """The passages of a lot that recur in different documents, with the first document of each."""
+    hot = {digit for digit, _ in told}
+    first: dict[str, int] = {}
+    last: dict[str, int] = {}
+    for text, c in zip(texts, lot, strict=True):
+        codes = window_digests(c, WORDS, window) if c.digit in hot else None
+        for i in range(c.windows):
+            passage = text[i : i + window]
+            least, most = c.ord, c.last
+            if codes and (t := told.get((c.digit, codes[i]))):
+                least, most = t.first[0], t.last
+            if first.setdefault(passage, least) > least:
+                first[passage] = least
+            if last.setdefault(passage, most) < most:
+                last[passage] = most
+    return {p: f for p, f in first.items() if f < last[p]}
+
+
+def automata(window: int, shard: int):
+    """Solver: where the confirmed passages of a lot stand in its contents, as shards of automata find them."""
+
+    def solve(lot: list[Content], told: dict[tuple[int, bytes], Told]) -> Runs:
+        letters = Letters()
+        texts = ["".join(map(letters.__getitem__, c.body.split(b" "))) for c in lot]
+        passages = list(confirmed(texts, lot, told, window).items())
+        found: list[tuple[int, int, int]] = []
+        for i in range(0, len(passages), shard):
+            automaton = ahocorasick.Automaton()
+            for passage, first in passages[i : i + shard]:
+                automaton.add_word(passage, first)
+            automaton.make_automaton()
+            for n, text in enumerate(texts):
+                found += [(n, end + 1 - window, first) for end, first in automaton.iter(text)]
+        if not found:
+            return alone(lot, [])
+        found.sort()
+        owner, off, first = np.array(found, np.int64).T
+        # a run goes on while the first document stays the same; its place there doesn't matter
+        _, code = np.unique(first, return_inverse=True)
+        runs = joined_runs(owner, off, (code << 32) + off, lambda x: (x >> 32, *[np.zeros(len(x), np.int64)] * 3))
+        return runs._replace(ord=np.unique(first)[runs.ord])
+
+    return solve
 
 
 def phrase_dedup(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM, stream: int = STREAM, shard: int = SHARD, with_text: bool = False) -> DataFrame:
@@ -252,9 +89,6 @@ def phrase_dedup(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM, str
     a window lose nothing; a null doc_id is neither smaller nor larger than another and its text stays whole. No rows give no rows; other
     columns are not read.
     """
-    small_batches(docs.sparkSession)
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tag"))
-    spans = repeated_passages(base, window=window, gram=gram, stream=stream, shard=shard).select(F.col("doc_id").alias("_doc"), F.col("tag").alias("_tag"), "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -273,9 +107,8 @@ def phrase_dedup(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM, str
 
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * with_text
     names = [x.split()[0] for x in schema.split(", ")]
-    dealt = base.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id", "tag")
-    joined = dealt.join(spans, (F.col("doc_id") == F.col("_doc")) & (F.col("tag") == F.col("_tag")), "left")
-    return joined.select("doc_id", "text", "spans").mapInArrow(run, schema)
+    found = with_spans(docs.select("doc_id", "text"), "doc_id", "text", solver=automata(window, shard), gone=lambda r: F.col("ord") > r["ord"], unit=WORDS, length=window, gram=gram, most=stream, tokens=shard, across=True)
+    return found.mapInArrow(run, schema)
 
 
 def op3_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:

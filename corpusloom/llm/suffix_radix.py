@@ -1,17 +1,14 @@
 """Suffix-array deduplication by a depth-limited radix sort.
 
-The order of suffixes matters only through the first `length` bytes (the threshold): suffixes that are equal so far stand at repeated
-windows. They are sorted by most-significant-digit passes, and what is alone in its group after a pass goes no further:
-
-1.  The first digit is the least hash of the k-grams of a window. Equal windows have equal digits, and neighbouring windows
-    mostly share one, so a run of windows with one digit (a segment) is one row. Digits found at one place only are dropped.
-2.  The second digit is the content of a whole segment. Segments with equal contents repeat in all their windows.
-3.  The windows of what is left, one of each content, get two more digits, one for each half. They are sorted by the first, and
-    groups of it are refined by the second. Equal groups are exactly the repeated windows.
-
-Digits are 64-bit hashes of the bytes they stand for, so a digit has a fixed width. For the last passes, contents that share a first
-digit meet in one task; where these are many, their windows are dealt out by the next digit instead, each content of a window
-once from each task, with a mark if it has met it twice. So no group is gathered in one task.
+The order of suffixes matters only through the first `length` tokens (the threshold): suffixes that are equal so far stand at repeated
+windows. `ordered` sorts the suffixes of a lot of contents by most-significant-digit passes: the first digit of a suffix is its first eight bytes (or
+its first word), and each pass doubles the depth, since what follows a suffix that is known to a depth is another one known to that depth. What
+is alone in its group after a pass goes no further, and equal groups at the depth limit are exactly the repeated windows. Groups are told
+apart by the tokens themselves, never by a hash.
+
+Not all suffixes of a corpus meet in a task: `windows` first deals them out by the phrase that equal windows share, and drops those whose
+phrase stands at one place. Equal contents are sorted once, with their count. Windows of a phrase with more than `many`
+contents are dealt to several tasks by content, and groups of equal windows are formed there by a keyed 128-bit digest.
 """
 
 from __future__ import annotations
@@ -21,266 +18,121 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import covered, cut, documents, mix, powers, rolling, runs, sliding_min, small_batches, utf8
+from .common import covered, documents, runs, utf8
+from .windows import BYTES, WORDS, Content, Runs, Told, alone, joined_runs, merged, places_of, window_digests, with_spans, word_bounds
 
 LENGTH, GRAM = 400, 50
-#: Contents with one first digit that meet in one task.
-MANY = 4096
-#: Odd bases of the hashes.
-GRAM_BASE, CONTENT_BASE, HALF_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
-#: Bytes of texts that are taken together (a longer text is taken alone).
-TOGETHER = 1 << 20
-SEGMENT = "key long, tag long, digit long, content long, begin int, windows int, multi boolean"
-
-
-def groups_of(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of at most `most` bytes together."""
-    i, n = 0, len(offsets) - 1
-    while i < n:
-        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + most, side="right")) - 1)
-        yield i, j
-        i = j
-
-
-def segments(x: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Runs of windows with one first digit in texts that stand in `x` one after another: text, begin, windows, digit, content, and
-    whether the digit's k-gram stands at several places of the text."""
-    w = length - gram + 1
-    hashes = rolling(x, gram, GRAM_BASE)
-    least = sliding_min(hashes, w)
-    if not len(least):
-        none = np.zeros(0, np.int64)
-        return none, none, none, none.astype(np.uint64), none.astype(np.uint64), none.astype(bool)
-    first = np.concatenate([[True], least[1:] != least[:-1]])
-    first[starts[starts < len(first)]] = True
-    stop = ends - length + 1
-    first[stop[(stop > 0) & (stop < len(first))]] = True
-    begin = np.flatnonzero(first)
-    windows = np.diff(np.append(begin, len(least)))
-    text = np.searchsorted(starts, begin, side="right") - 1
-    inside = begin + length <= ends[text]
-    # places whose k-gram is the least of a window
-    valid = np.repeat(inside, windows)
-    pad = np.zeros(w - 1, np.uint64)
-    top = ~sliding_min(~np.concatenate([pad, np.where(valid, least, np.uint64(0)), pad]), w)
-    at = np.flatnonzero(top == hashes)
-    order = np.argsort(hashes[at], kind="stable")
-    at = at[order]
-    owner = np.searchsorted(starts, at, side="right").astype(np.uint64)
-    again = (hashes[at][1:] == hashes[at][:-1]) & (owner[1:] == owner[:-1])
-    salt = np.uint64(0x2545F4914F6CDD1D)
-    begin, windows, text = begin[inside], windows[inside], text[inside]
-    digit = least[begin]
-    multi = np.isin(digit ^ (text + 1).astype(np.uint64) * salt, hashes[at][1:][again] ^ owner[1:][again] * salt)
-    up, down = powers(CONTENT_BASE, len(x))
-    sums = np.zeros(len(x) + 1, np.uint64)
-    np.cumsum((x.astype(np.uint64) + np.uint64(1)) * up, out=sums[1:])
-    stop = begin + windows - 1 + length
-    content = mix((sums[stop] - sums[begin]) * down[begin] + windows.astype(np.uint64) * salt)
-    return text, begin - starts[text], windows, digit, content, multi
-
-
-def _segments(length: int, gram: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            data, offsets = utf8(batch)
-            for i, j in groups_of(offsets, TOGETHER):
-                lo = offsets[i]
-                text, begin, windows, digit, content, multi = segments(data[lo : offsets[j]], offsets[i:j] - lo, offsets[i + 1 : j + 1] - lo, length, gram)
-                if len(text):
-                    rows = pa.array(text + i)
-                    yield pa.record_batch(
-                        [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(digit.view(np.int64)), pa.array(content.view(np.int64)), pa.array(begin.astype(np.int32)), pa.array(windows.astype(np.int32)), pa.array(multi)],
-                        ["key", "tag", "digit", "content", "begin", "windows", "multi"],
-                    )
-
-    return run
-
-
-WINDOWS = "d1 long, d2 long, key long, tag long, low int, high int, kind int, bytes binary"
-ARROW = pa.schema([("d1", pa.int64()), ("d2", pa.int64()), ("key", pa.int64()), ("tag", pa.int64()), ("low", pa.int32()), ("high", pa.int32()), ("kind", pa.int32()), ("bytes", pa.binary())])
-#: Kinds of rows of the last passes: a window to be judged; a window known to repeat; a span of windows known to repeat; a content to be judged; a
-#: content known to repeat.
-OPEN, KNOWN, SPAN, CONTENT, COPIED = range(5)
-
-
-def _groups(*keys: np.ndarray) -> np.ndarray:
-    """Number of the run of equal keys that each place of sorted arrays is in."""
-    change = np.zeros(len(keys[0]), bool)
-    for k in keys:
-        change[1:] |= k[1:] != k[:-1]
-    return np.cumsum(change)
-
-
-def _joined(row: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of consecutive windows: row, first window, one past the last."""
-    order = np.lexsort((start, row))
-    r, s = row[order], start[order]
-    first = np.flatnonzero(np.concatenate([[True], (r[1:] != r[:-1]) | (s[1:] > s[:-1] + 1)]))
-    last = np.append(first[1:], len(s)) - 1
-    return r[first], s[first], s[last] + 1
-
-
-def _deal(length: int, many: int):
-    """Contents that share their first digit with few others, whole; windows of the others, by their next digits."""
-    half = length // 2
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            data, offsets = utf8(batch)
-            whole: list[tuple] = []
-            d1, d2, row, start, done = [], [], [], [], []
-            keys, tags = batch.column(0), batch.column(1)
-            for i, (key, tag, wanted) in enumerate(zip(keys.to_pylist(), tags.to_pylist(), batch.column(3).to_pylist(), strict=True)):
-                x = data[offsets[i] : offsets[i + 1]]
-                one = None
-                for p in wanted:
-                    low, high = p["begin"], p["begin"] + p["windows"]
-                    if p["kinds"] <= many:
-                        whole.append((p["digit"], 0, key, tag, low, high, COPIED if p["done"] else CONTENT, x[low : high - 1 + length].tobytes()))
-                        continue
-                    if one is None:
-                        one, two = rolling(x, half, HALF_BASE), rolling(x, length - half, HALF_BASE)
-                    at = np.arange(low, high)
-                    d1.append(one[at])
-                    d2.append(two[at + half])
-                    row.append(np.full(len(at), i))
-                    start.append(at)
-                    done.append(np.full(len(at), p["done"]))
-            for i in range(0, len(whole), 2000):
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*whole[i : i + 2000], strict=True), ARROW.types, strict=True)], ARROW)
-            if not d1:
-                continue
-            d1, d2, row, start, done = map(np.concatenate, (d1, d2, row, start, done))
-            order = np.lexsort((d2, d1))
-            d1, d2, row, start, done = (a[order] for a in (d1, d2, row, start, done))
-            group = _groups(d1, d2)
-            known = (np.bincount(group) > 1) | (np.bincount(group, done) > 0)
-            lead = np.flatnonzero(np.diff(group, prepend=-1))
-            rows = pa.array(row[lead], mask=known)
-
-            def rest(n: int, kind: np.ndarray) -> list[pa.Array]:
-                return [pa.array(kind.astype(np.int32)), pa.nulls(n, pa.binary())]
-
-            yield pa.record_batch([pa.array(d1[lead].view(np.int64)), pa.array(d2[lead].view(np.int64)), keys.take(rows), tags.take(rows), pa.array(start[lead].astype(np.int32)), pa.array((start[lead] + 1).astype(np.int32)), *rest(len(lead), np.where(known, KNOWN, OPEN))], ARROW)
-            told = np.flatnonzero(known[group] & ~done)
-            if len(told):
-                r, low, high = _joined(row[told], start[told])
-                rows = pa.array(r)
-                spread = pa.array(mix((low + 1).astype(np.uint64) * (r + 7).astype(np.uint64)).view(np.int64))
-                yield pa.record_batch([spread, spread, keys.take(rows), tags.take(rows), pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32)), *rest(len(r), np.full(len(r), SPAN))], ARROW)
-
-    return run
-
-
-def _repeats(d1: np.ndarray, d2: np.ndarray) -> np.ndarray:
-    """Which places have another with the same digits: groups of the first are refined by the second, those of one go no further."""
-    order = np.argsort(d1, kind="stable")
-    group = _groups(d1[order])
-    alive = order[np.bincount(group)[group] > 1] if len(order) else order
-    alive = alive[np.lexsort((d2[alive], d1[alive]))]
-    out = np.zeros(len(d1), bool)
-    if len(alive):
-        group = _groups(d1[alive], d2[alive])
-        out[alive] = np.bincount(group)[group] > 1
-    return out
-
-
-def _refine(length: int):
-    half = length // 2
-
-    def contents(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        """The windows of whole contents; those with one first digit stand in one table."""
-        low, high = table.column("low").to_numpy(), table.column("high").to_numpy()
-        counts = (high - low).astype(np.int64)
-        x = np.frombuffer(b"".join(table.column("bytes").to_pylist()), np.uint8)
-        begin = np.cumsum(counts - 1 + length) - (counts - 1 + length)
-        row = np.repeat(np.arange(len(counts)), counts)
-        off = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-        at = begin[row] + off
-        again = _repeats(rolling(x, half, HALF_BASE)[at], rolling(x, length - half, HALF_BASE)[at + half])
-        again &= (table.column("kind").to_numpy() == CONTENT)[row]
-        if again.any():
-            r, a, b = _joined(row[again], (low[row] + off)[again])
-            rows = pa.array(r)
-            for out in table.select(["key", "tag"]).take(rows).append_column("low", pa.array(a.astype(np.int32))).append_column("high", pa.array(b.astype(np.int32))).combine_chunks().to_batches():
-                yield out
-
-    def judged(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        kind = table.column("kind").to_numpy()
-        whole = np.flatnonzero(kind >= CONTENT)
-        if len(whole):
-            yield from contents(table.take(pa.array(whole)))
-        windows = np.flatnonzero(kind <= KNOWN)
-        again = windows[_repeats(table.column("d1").to_numpy()[windows], table.column("d2").to_numpy()[windows])]
-        keep = np.union1d(np.flatnonzero(kind == SPAN), again[kind[again] == OPEN])
-        if len(keep):
-            yield from table.select(["key", "tag", "low", "high"]).take(pa.array(keep)).combine_chunks().to_batches()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            d1 = batch.column(0).to_numpy()
-            begin = int(np.searchsorted(d1, d1[-1], side="left"))
-            if begin:
-                yield from judged(pa.Table.from_batches([*held, batch.slice(0, begin)]))
-                held = []
-            held.append(batch.slice(begin))
-        if held:
-            yield from judged(pa.Table.from_batches(held))
-
-    return run
-
+#: The threshold and the phrase in words.
+WORD_LENGTH, WORD_GRAM = 50, 10
+#: Contents of one phrase that meet in one task; tokens that are sorted together, about.
+MANY, TOKENS = 4096, 1 << 20
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """The rows with two 64-bit hashes of doc_id and text, which tell rows apart, dealt out by them."""
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return docs.withColumns({"_key": F.xxhash64("doc_id", "text"), "_tag": F.xxhash64("text", F.lit(1), "doc_id")}).repartition(parts, "_key", "_tag")
 
+def ordered(x: np.ndarray, depth: int, left: np.ndarray, copied: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the windows of `length` tokens begin that are equal to another (or copied), in order of their tokens, and the group of each.
 
-def repeated_spans(docs: DataFrame, dealt: DataFrame, *, length: int = LENGTH, gram: int = GRAM, many: int = MANY) -> DataFrame:
-    """_key, _tag and _spans: where windows of `length` bytes that repeat begin, as an array of (low, high). `dealt` is keyed(docs)."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    told = docs.select(F.xxhash64("doc_id", "text").alias("key"), F.xxhash64("text", F.lit(1), "doc_id").alias("tag"), "text")
-    found = told.where(F.octet_length("text") >= length).mapInArrow(_segments(length, gram), SEGMENT)
-    live = found.groupBy("digit").agg(F.count("*").alias("n"), F.max("multi").alias("m")).where("n > 1 or m").select("digit")
-    places = cut(found.join(live, "digit"))
-
-    contents = places.groupBy("digit", "content").agg(F.count("*").alias("n"), F.max("multi").alias("multi"), F.min(F.struct("key", "tag", "begin", "windows")).alias("one"))
-    mixed = contents.groupBy("digit").agg(F.count("*").alias("kinds"), F.max("multi").alias("m")).where("kinds > 1 or m")
-    wanted = contents.join(mixed, "digit").groupBy("one.key", "one.tag").agg(F.collect_list(F.struct("digit", F.col("one.begin").alias("begin"), F.col("one.windows").alias("windows"), (F.col("n") > 1).alias("done"), "kinds")).alias("parts"))
-    texts = dealt.join(wanted, (F.col("_key") == F.col("key")) & (F.col("_tag") == F.col("tag"))).select("key", "tag", "text", "parts", *(c for c in docs.columns if c != "text"))  # all columns, so that the exchange is used again below
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    partial = texts.mapInArrow(_deal(length, many), WINDOWS).repartition(parts, "d1").sortWithinPartitions("d1").mapInArrow(_refine(length), "key long, tag long, low int, high int")
-
-    copied = contents.where("n > 1").select("digit", "content")
-    whole = places.join(copied, ["digit", "content"]).select("key", "tag", F.col("begin").alias("low"), (F.col("begin") + F.col("windows")).alias("high"))
-    return whole.union(partial).groupBy("key", "tag").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
-
-
-def _with_spans(docs: DataFrame, **options) -> DataFrame:
-    dealt = keyed(docs)
-    spans = repeated_spans(docs, dealt, **options).select("key", "tag", F.col("spans").alias("_spans"))
-    return dealt.join(spans, (F.col("_key") == F.col("key")) & (F.col("_tag") == F.col("tag")), "left")
-
-
-def _kept(x: np.ndarray, spans: list[dict] | None, length: int) -> tuple[np.ndarray, int]:
-    """Bytes that stay and the number of maximal removed runs."""
+    x: a digit of `depth` tokens for each place; left: tokens from a place to the end of its content; copied: whether its content stands elsewhere too.
+    """
+    at = np.flatnonzero(left >= depth)
+    digit = x[at]
+    rank = np.empty(len(x), np.int64)
+    while True:
+        order = np.argsort(digit, kind="stable")
+        at, digit = at[order], digit[order]
+        new = np.ones(len(at), bool)
+        new[1:] = digit[1:] != digit[:-1]
+        first = np.flatnonzero(new)
+        if not len(first):
+            return at, at
+        alive = (np.diff(np.append(first, len(at))) > 1) | np.logical_or.reduceat(copied[at], first)
+        group = np.cumsum(new) - 1
+        stays = alive[group]
+        at, group = at[stays], group[stays]
+        if depth == length:
+            return at, group
+        rank.fill(-1)
+        rank[at] = group
+        step = min(depth, length - depth)
+        depth += step
+        far = left[at] >= depth
+        at, group = at[far], group[far]
+        then = rank[at + step]
+        at, digit = at[then >= 0], group[then >= 0] * len(x) + then[then >= 0]
+
+
+def digits(bodies: list[bytes], unit: str) -> tuple[np.ndarray, int, np.ndarray]:
+    """The first digit of each suffix of the bodies, its depth, and the number of tokens of each body."""
+    if unit == BYTES:
+        x = np.frombuffer(b"".join(bodies) + bytes(8), np.uint8).astype(np.uint64)
+        for width in (1, 2, 4):
+            x = (x[:-width] << np.uint64(8 * width)) | x[width:]
+        return x[:-1], 8, np.array([len(b) for b in bodies])
+    words = [b.split(b" ") for b in bodies]
+    rank = {w: i for i, w in enumerate(sorted(set().union(*words)))}
+    return np.fromiter((rank[w] for ws in words for w in ws), np.int64), 1, np.array([len(ws) for ws in words])
+
+
+def radix(unit: str, length: int):
+    """Solver: the windows of a lot that are equal to others."""
+
+    def sort(lot: list[Content], some: list[int]) -> Runs:
+        number, place = places_of(lot)
+        x, depth, sizes = digits([lot[i].body for i in some], unit)
+        if depth > length:
+            x, depth = x >> np.uint64(8 * (depth - length)), length
+        ends = np.cumsum(sizes)
+        owner = np.repeat(np.arange(len(some)), sizes)
+        here = np.arange(len(owner))
+        copied = np.array([lot[i].n > 1 for i in some])
+        at, group = ordered(x, depth, ends[owner] - here, copied[owner], length)
+        if not len(at):
+            return alone(lot, [])
+        off = at - (ends - sizes)[owner[at]]
+        first = number[np.array(some)][owner[at]] + off
+        heads = np.flatnonzero(np.diff(group, prepend=-1))
+        first = np.repeat(np.minimum.reduceat(first, heads), np.diff(np.append(heads, len(at))))
+        order = np.argsort(at)
+        return joined_runs(np.array(some)[owner[at]][order], off[order], first[order], place)
+
+    def shared(lot: list[Content], some: list[int], told: dict[tuple[int, bytes], Told]) -> Runs:
+        found = [(i, o, *t.first) for i in some for o, d in enumerate(window_digests(lot[i], unit, length)) if (t := told.get((lot[i].digit, d)))]
+        if not found:
+            return alone(lot, [])
+        owner, off, order, key, tag, at = np.array(found, np.int64).T
+        new = np.ones(len(owner), bool)
+        new[1:] = (owner[1:] != owner[:-1]) | (off[1:] != off[:-1] + 1) | (order[1:] != order[:-1]) | (key[1:] != key[:-1]) | (tag[1:] != tag[:-1]) | (at[1:] != at[:-1] + 1)
+        new = np.flatnonzero(new)
+        return Runs(owner[new], off[new], off[np.append(new[1:], len(owner)) - 1] + 1, order[new], key[new], tag[new], at[new])
+
+    def solve(lot: list[Content], told: dict[tuple[int, bytes], Told]) -> Runs:
+        hot = {digit for digit, _ in told}
+        whole = [i for i, c in enumerate(lot) if c.body is None]
+        some = [i for i, c in enumerate(lot) if c.body is not None and c.digit not in hot]
+        rest = [i for i, c in enumerate(lot) if c.body is not None and c.digit in hot]
+        return merged(alone(lot, whole), *([sort(lot, some)] if some else []), *([shared(lot, rest, told)] if rest else []))
+
+    return solve
+
+
+def later(r: Column) -> Column:
+    """Whether a run begins earlier elsewhere than here."""
+    return F.struct(F.col("ord"), F.col("key"), F.col("tag"), F.col("begin") + r["low"]) > F.struct(r["ord"], r["key"], r["tag"], r["at"])
+
+
+def _kept(x: np.ndarray, spans: list[dict] | None, length: int, unit: str = BYTES) -> tuple[np.ndarray, int]:
+    """Bytes that stay and the number of maximal removed runs. A removed word takes the white space behind it along."""
     if not spans:
         return x, 0
     lows = np.fromiter((s["low"] for s in spans), np.int64)
     highs = np.fromiter((s["high"] for s in spans), np.int64) - 1 + length
+    if unit == WORDS:
+        begin, _ = word_bounds(x, np.zeros(1, np.int64), np.array([len(x)]))
+        begin = np.append(begin, len(x))
+        lows, highs = begin[lows], begin[highs]
     gone = covered(len(x), lows, highs)
     return x[~gone], len(runs(gone)[0])
 
@@ -308,29 +160,37 @@ def suffix_dedup(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, man
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept string" * with_text
     names = [x.split()[0] for x in schema.split(", ")]
-    return _with_spans(docs.select("doc_id", "text"), length=length, gram=gram, many=many).select("doc_id", "text", "_spans").mapInArrow(run, schema)
+    found = with_spans(docs.select("doc_id", "text"), "doc_id", "text", solver=radix(BYTES, length), gone=None, unit=BYTES, length=length, gram=gram, most=many, tokens=TOKENS)
+    return found.mapInArrow(run, schema)
 
 
-def remove_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """The documents without their repeated windows; n_chars, if there is one, counts what is left."""
+def remove_repeats(docs: DataFrame, *, unit: str = WORDS, length: int = WORD_LENGTH, gram: int = WORD_GRAM, many: int = MANY) -> DataFrame:
+    """The documents, with all columns, without windows of `length` words (or bytes) that begin earlier in the corpus too; n_chars, if there is one, counts what is left.
+
+    The first place of a window keeps it: that in the row with the least doc_id (null last; then by a hash of doc_id and text), and there the first. A removed word
+    takes the white space behind it along. Null text stays null and empty text empty; a text may be left empty. Rows that agree in doc_id and text are
+    one place, so repeated rows lose alike. No rows give no rows; columns may have any names.
+    """
     names, schema = docs.columns, docs.schema
     rest = [n for n in names if n not in ("doc_id", "text")]
-    packed = docs.select("doc_id", "text", *([F.struct(*rest).alias("_rest")] if rest else []))
+    packed = docs.select("doc_id", "text", *([F.struct(*(F.col(f"`{n}`") for n in rest)).alias("_rest")] if rest else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             data, offsets = utf8(batch)
+            found = batch.column(batch.schema.get_field_index("_spans")).to_pylist()
             nulls = batch.column(1).is_null().to_pylist()
-            texts = [None if null else _kept(data[offsets[i] : offsets[i + 1]], spans, length)[0].tobytes().decode("utf-8", "ignore") for i, (spans, null) in enumerate(zip(batch.column(2).to_pylist(), nulls, strict=True))]
+            texts = [None if null else _kept(data[offsets[i] : offsets[i + 1]], spans, length, unit)[0].tobytes().decode("utf-8", "ignore") for i, (spans, null) in enumerate(zip(found, nulls, strict=True))]
             columns = {"doc_id": batch.column(0), "text": pa.array(texts, pa.string())}
-            columns |= {n: c for n, c in zip(rest, batch.column(3).flatten(), strict=True)} if rest else {}
+            columns |= {n: c for n, c in zip(rest, batch.column(2).flatten(), strict=True)} if rest else {}
             if "n_chars" in rest:
-                columns["n_chars"] = pa.array([None if t is None else len(t) for t in texts], columns["n_chars"].type)
+                columns["n_chars"] = pa.array([old if spans is None else len(t) for t, old, spans in zip(texts, columns["n_chars"].to_pylist(), found, strict=True)], columns["n_chars"].type)
             yield pa.record_batch([columns[n] for n in names], names)
 
-    return _with_spans(packed, length=length, gram=gram).select("doc_id", "text", "_spans", *(["_rest"] if rest else [])).mapInArrow(run, StructType(schema.fields))
+    found = with_spans(packed, *packed.columns, solver=radix(unit, length), gone=later, unit=unit, length=length, gram=gram, most=many, tokens=TOKENS if unit == BYTES else TOKENS >> 2)
+    return found.mapInArrow(run, StructType(schema.fields))
 
 
 def op9_suffix_radix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,9 @@ import hashlib
 import random
 import re
 
+from corpusloom.llm import phrase_automata
 from corpusloom.llm.phrase_automata import op3_phrase_automata, phrase_dedup
+from corpusloom.llm.windows import alone
 
 from .conftest import DATA
 
@@ -47,3 +49,8 @@ def test_common_phrases_periods_and_odd_rows(spark):
     assert sorted(map(tuple, phrase_dedup(df, window=8, gram=3).collect()), key=str) == want
     assert sorted(map(tuple, phrase_dedup(df, window=8, gram=3, stream=3, shard=5).collect()), key=str) == want
     assert phrase_dedup(df.limit(0), window=8, gram=3).count() == 0
+
+
+def test_nothing_goes_without_the_automata(spark, monkeypatch):
+    monkeypatch.setattr(phrase_automata, "automata", lambda window, shard: lambda lot, told: alone(lot, []))
+    assert op3_phrase_automata(spark, DATA).where("n_removed > 0").count() == 0
