@@ -1,8 +1,9 @@
 """Packing: order-preserving dynamic programming over the token stream of each batch of documents.
 
 Windows of at most `size` tokens are cut at document ends (free), sentence ends (a small penalty) or, in a stretch
-without sentence ends, between other tokens (a larger one). A window of n tokens is padded to `size`, unless n is a power of
-two. With f(j) the least cost of cutting the stream before candidate j at place c(j),
+without sentence ends, between other tokens (a larger one); to cut a document that would fit in a window costs more. A window of n tokens is padded to
+`size`; a power of two needs no padding but fills as little of a sequence, so it costs a share of that. With f(j) the least cost of cutting the
+stream before candidate j at place c(j),
 
     f(j) = penalty(j) + min over i with c(j) - c(i) <= size of f(i) + padding(c(j) - c(i)),
 
@@ -30,6 +31,8 @@ from .common import documents, small_batches, texts
 SIZE, END_ID = 1024, 0
 #: Cost of a cut inside a document, in tokens of padding: at a sentence end, elsewhere. Elsewhere is tried every STRIDE tokens.
 SENTENCE_CUT, TOKEN_CUT, STRIDE = 2.0, 12.0, 48
+#: Cost of a cut inside a document that fits in a window, besides; cost of a place that a sequence of a power of two leaves free.
+FIT_CUT, SHORT = 100.0, 0.5
 CACHE = 300_000
 #: A space beside other white space: such a text isn't cut at its spaces.
 TIED = re.compile(r"\s (?:\s|\Z)")
@@ -99,12 +102,19 @@ class WordIds(dict):
         return out
 
 
-def cut_points(length: int, doc_ends: np.ndarray, sentence_ends: np.ndarray, size: int = SIZE, sentence_cut: float = SENTENCE_CUT, token_cut: float = TOKEN_CUT, stride: int = STRIDE) -> np.ndarray:
+def cut_points(
+    length: int, doc_ends: np.ndarray, sentence_ends: np.ndarray, size: int = SIZE, sentence_cut: float = SENTENCE_CUT, token_cut: float = TOKEN_CUT, stride: int = STRIDE, fit_cut: float = FIT_CUT, short: float = SHORT
+) -> np.ndarray:
     """Where the cheapest windows of a stream of `length` tokens end, ascending; the last is `length`."""
     if not length:
         return np.zeros(0, np.int64)
     penalty = np.full(length + 1, -1.0)
     penalty[sentence_ends] = sentence_cut
+    # whole windows from either end of a document that is longer than one
+    begins = np.concatenate([[0], doc_ends[:-1]])
+    for a, b in zip(begins[doc_ends - begins > size].tolist(), doc_ends[doc_ends - begins > size].tolist(), strict=True):
+        even = np.concatenate([np.arange(a + size, b, size), np.arange(b - size, a, -size)])
+        penalty[even[penalty[even] < 0]] = token_cut
     penalty[doc_ends] = 0.0
     penalty[0] = penalty[length] = 0.0
     for tail in (1 << k for k in range(size.bit_length())):
@@ -117,16 +127,19 @@ def cut_points(length: int, doc_ends: np.ndarray, sentence_ends: np.ndarray, siz
         inner = np.concatenate([np.arange(at[i] + stride, at[i + 1], stride) for i in wide])
         penalty[inner] = token_cut
         at = np.flatnonzero(penalty >= 0)
+    inside = at[penalty[at] > 0]
+    doc = np.searchsorted(doc_ends, inside)
+    penalty[inside[(doc_ends - begins)[doc] <= size]] += fit_cut
     index = np.full(length + 1, -1, np.int64)
     index[at] = np.arange(len(at))
-    near: dict[int, list[int]] = {}
+    near: dict[int, list[tuple[int, float]]] = {}
     for k in range(size.bit_length()):
         if 1 << k < size:
             back = at - (1 << k)
             j = np.flatnonzero(back >= 0)
             i = index[back[j]]
             for a, b in zip(j[i >= 0].tolist(), i[i >= 0].tolist(), strict=True):
-                near.setdefault(a, []).append(b)
+                near.setdefault(a, []).append((b, short * (size - (1 << k))))
     places, costs = at.tolist(), penalty[at].tolist()
     f = [0.0] * len(places)
     came = [0] * len(places)
@@ -138,9 +151,9 @@ def cut_points(length: int, doc_ends: np.ndarray, sentence_ends: np.ndarray, siz
         best, _, i = queue[0]
         best += size - c
         if j in near:
-            for h in near[j]:
-                if f[h] < best:
-                    best, i = f[h], h
+            for h, free in near[j]:
+                if f[h] + free < best:
+                    best, i = f[h] + free, h
         f[j] = best = best + costs[j]
         came[j] = i
         key = best + c
@@ -164,7 +177,7 @@ def word_ids(file: str) -> WordIds:
     return _WORDS[file]
 
 
-def pack(docs: DataFrame, file: str, *, size: int = SIZE, end_id: int = END_ID, sentence_cut: float = SENTENCE_CUT, token_cut: float = TOKEN_CUT, stride: int = STRIDE, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, file: str, *, size: int = SIZE, end_id: int = END_ID, sentence_cut: float = SENTENCE_CUT, token_cut: float = TOKEN_CUT, stride: int = STRIDE, fit_cut: float = FIT_CUT, short: float = SHORT, with_ids: bool = False) -> DataFrame:
     """Pieces of all documents in sequences of at most `size` tokens, in the order of the rows of each partition.
 
     A null or empty text is the end id alone. A null doc_id is kept; a repeated row is packed again as a document of its own;
@@ -186,7 +199,7 @@ def pack(docs: DataFrame, file: str, *, size: int = SIZE, end_id: int = END_ID,
             ends = np.cumsum(lengths)
             stream = b"".join(raws)
             ids = np.frombuffer(stream, "<u4")
-            cuts = cut_points(len(ids), ends, np.flatnonzero(words.ends[np.minimum(ids, len(words.ends) - 1)]) + 1, size, sentence_cut, token_cut, stride)
+            cuts = cut_points(len(ids), ends, np.flatnonzero(words.ends[np.minimum(ids, len(words.ends) - 1)]) + 1, size, sentence_cut, token_cut, stride, fit_cut, short)
             stops = np.union1d(cuts, ends)
             starts = np.concatenate([[0], stops[:-1]])
             doc = np.searchsorted(ends, starts, side="right")

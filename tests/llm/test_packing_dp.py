@@ -23,31 +23,46 @@ def test_ids_equal_the_library():
         assert got == [e.ids for e in tok.encode_batch(some, add_special_tokens=False)]
 
 
-def cost(points, n, docs, sentences, size, sc, tc):
+def cost(points, n, penalty, size, short):
     total, before = 0, 0
     for p in points:
         k = p - before
         assert 0 < k <= size
-        total += (0 if k & (k - 1) == 0 else size - k) + (0 if p in docs or p == n else sc if p in sentences else tc)
+        total += (short if k & (k - 1) == 0 else 1) * (size - k) + penalty(p)
         before = p
     return total
 
 
 def test_cuts_are_the_cheapest():
     rng = random.Random(2)
-    for _ in range(40):
+    for _ in range(60):
         n, size = rng.randint(1, 60), 16
         docs = sorted({n, *rng.sample(range(1, n + 1), min(n, 3))})
         sents = sorted(set(rng.sample(range(1, n + 1), min(n, 8))))
+        fit, short = rng.choice([0, 3, 9]), rng.choice([0, 0.5, 1])
+
+        def penalty(p, n=n, docs=docs, sents=sents, fit=fit, size=size):
+            if p in docs or p == n:
+                return 0
+            begin, end = max([0, *(d for d in docs if d < p)]), min(d for d in docs if d > p)
+            return (2 if p in sents else 5) + fit * (end - begin <= size)
+
         best = [0.0] + [1e9] * n
         for j in range(1, n + 1):
-            pen = 0 if j in docs else 2 if j in sents else 5
             for i in range(max(0, j - size), j):
                 k = j - i
-                best[j] = min(best[j], best[i] + (0 if k & (k - 1) == 0 else size - k) + pen)
-        got = cut_points(n, np.array(docs), np.array(sents), size, 2, 5, 1)
+                best[j] = min(best[j], best[i] + (short if k & (k - 1) == 0 else 1) * (size - k) + penalty(j))
+        got = cut_points(n, np.array(docs), np.array(sents), size, 2, 5, 1, fit, short)
         assert got[-1] == n
-        assert cost(got.tolist(), n, docs, sents, size, 2, 5) == best[n]
+        assert cost(got.tolist(), n, penalty, size, short) == best[n]
+
+
+def test_very_long_text_without_sentences(spark):
+    df = spark.createDataFrame([(1, "word " * 60_000), (2, "x")], "doc_id long, text string").coalesce(1)
+    sizes = defaultdict(int)
+    for r in pack(df, FILE).collect():
+        sizes[r.sequence_id] += r.length
+    assert sorted(sizes.values())[1:] == [1024] * (len(sizes) - 1)
 
 
 def test_query_packs_each_id_once(spark):
@@ -63,7 +78,7 @@ def test_query_packs_each_id_once(spark):
     assert by_doc.keys() == ids.keys()
     for d, x in by_doc.items():
         assert sum(n for _, n in x) == len(ids[d])
-    padding = 0
+    padding = short = 0
     for x in by_seq.values():
         at = 0
         for offset, n in sorted(x):
@@ -71,7 +86,10 @@ def test_query_packs_each_id_once(spark):
             at += n
         assert at <= 1024
         padding += 0 if at & (at - 1) == 0 else 1024 - at
-    assert padding < 0.02 * sum(map(len, ids.values()))
+        short += at <= 256
+    tokens = sum(map(len, ids.values()))
+    assert padding < 0.02 * tokens, padding / tokens
+    assert short <= 8 and len(by_seq) < 1.05 * tokens / 1024 + 8
 
 
 def test_nulls_repeats_and_nothing(spark):
