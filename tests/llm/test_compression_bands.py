@@ -1,10 +1,13 @@
+import base64
 import random
 import re
 from collections import Counter
 
+import pytest
 import zstandard
+from pyspark.sql import functions as F
 
-from corpusloom.llm.compression_bands import BANDS, compression_bands, keep_good, op1_compression_bands, repeat_words
+from corpusloom.llm.compression_bands import BANDS, CHUNK_BAND, bands_of, compression_bands, documents, fit_bands, keep_good, limit, op1_compression_bands, repeat_words
 
 from .conftest import DATA
 
@@ -23,19 +26,77 @@ def brute(text):
     return n, sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), dup, len(hit), n < 50 or 100 * len(hit) > 50 * n
 
 
-def test_query_equals_brute_force(spark):
-    rows = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+def plain_verdict(text, bands=BANDS, chunk_band=CHUNK_BAND):
+    """Whether the method keeps a text, told from its definition."""
     z = zstandard.ZstdCompressor(level=3, write_content_size=False)
-    for r in op1_compression_bands(spark, DATA).collect():
-        text = rows.pop(r.doc_id)
-        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == brute(text)
-        raw = text.encode()
-        ratio = len(z.compress(raw)) / len(raw)
-        low, high = next(b[1:] for b in reversed(BANDS) if len(raw) >= b[0])
-        assert abs(r.ratio - ratio) < 1e-12
-        if r.n_chunks == 1:
-            assert r.kept == (not r.base_failed and low <= ratio <= high)
-    assert not rows
+    raw = text.encode()
+    ratio = lambda x: len(z.compress(x)) / len(x) if x else 1.0
+    low, high = [b[1:] for b in bands if len(raw) >= b[0]][-1]
+    parts = [raw[i : i + 2048] for i in range(0, len(raw), 2048)]
+    if len(parts) > 1 and len(parts[-1]) < 1024:
+        parts[-2:] = [parts[-2] + parts[-1]]
+    bad = sum(not chunk_band[0] <= ratio(x) <= chunk_band[1] for x in parts) if len(parts) > 1 else 0
+    return low <= ratio(raw) <= high and 4 * bad <= len(parts)
+
+
+def test_query_equals_brute_force(spark):
+    for sf in ("0.001", "0.01"):
+        at = f"/root/testdata/sf{sf}"
+        docs = documents(spark, at)
+        bands, chunk_band = fit_bands(docs, spark.read.parquet(f"{at}/labels.parquet"))
+        rows = {r.doc_id: r.text or "" for r in docs.collect()}
+        long = 0
+        for r in op1_compression_bands(spark, at).collect():
+            text = rows.pop(r.doc_id)
+            assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == brute(text)
+            assert r.kept == (not r.base_failed and plain_verdict(text, bands, chunk_band))
+            long += r.n_chunks > 1
+        assert not rows and long > 10
+
+
+def test_bands_part_held_out_labels(spark):
+    at = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{at}/labels.parquet")
+    some = documents(spark, at).join(labels.select("doc_id"), "doc_id", "left_semi")
+    bands, chunk_band = fit_bands(some, labels)
+    held = some.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0)
+    got = compression_bands(held, bands=bands, chunk_band=chunk_band).where("not base_failed").join(labels, "doc_id").select("kept", "quality").collect()
+    bad = [r.kept for r in got if r.quality == 0]
+    good = [r.kept for r in got if r.quality == 1]
+    assert len(bad) > 30 and sum(not k for k in bad) > 0.5 * len(bad)
+    assert sum(good) > 0.99 * len(good)
+    # learned from the others alone
+    turned = labels.withColumn("quality", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, 1 - F.col("quality")).otherwise(F.col("quality")))
+    assert fit_bands(some, turned) == (bands, chunk_band)
+
+
+def test_noise_is_outside_the_bands(spark):
+    rng = random.Random(11)
+    at = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{at}/labels.parquet")
+    bands, chunk_band = fit_bands(documents(spark, at).join(labels.select("doc_id"), "doc_id", "left_semi"), labels)
+    for n in (2000, 8000, 80_000):
+        raw = rng.randbytes(n)
+        kinds = (base64.b64encode(raw).decode(), raw.hex(), "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n)))
+        for text in kinds:
+            assert not plain_verdict(" ".join(text[i : i + 8] for i in range(0, len(text), 8)), bands, chunk_band)
+
+
+def test_limits():
+    import numpy as np
+
+    assert limit(np.array([5.0, 6.0]), np.array([1.0, 2.0])) == pytest.approx(3.5)
+    assert limit(np.array([1.0, 6.0]), np.array([2.0, 3.0])) is None
+    assert limit(np.array([5.0]), np.array([])) is None
+    assert bands_of([]) == (BANDS, CHUNK_BAND)
+    same = bands_of([(True, 1000, 0.5, [])] * 200)  # ties: no spread
+    assert next(b for b in reversed(same[0]) if b[0] <= 1000)[1] < 0.5 < next(b for b in reversed(same[0]) if b[0] <= 1000)[2]
+
+
+def test_labels_that_are_odd(spark):
+    docs = spark.createDataFrame([(1, "a b", 0), (None, "c", 1), (2, None, 2)], "doc_id long, text string, _good int")
+    labels = spark.createDataFrame([(1, 1, "x"), (1, 0, "y"), (None, 1, "z"), (2, None, "w"), (2, 1, "v")], "doc_id long, quality int, _id string")
+    assert fit_bands(docs, labels) == fit_bands(docs.limit(0), labels) == fit_bands(docs, labels.limit(0)) == (BANDS, CHUNK_BAND)
 
 
 def test_repeat_words_on_small_alphabets():
