@@ -1,13 +1,16 @@
 """PII: patterns for direct identifiers, and information-theoretic sanitisation of the terms that give them away.
 
-What a term t tells of a protected entity e is the pointwise mutual information PMI(e; t) = log2(P(e | t) / P(e)) of its occurrences in the corpus; what there is to tell
-is IC(e) = -log2 P(e). A term beside an entity is disclosed with it if PMI reaches a share of IC and the evidence comes from
-several different contexts; such terms are generalised. All probabilities are counted over all documents.
+What a term t tells of a protected entity e is the pointwise mutual information PMI(e; t) = log2(P(e | t) / P(e)) of their occurrences in documents; what there is to tell
+is IC(e) = -log2 P(e). A term discloses an entity if PMI reaches a share of IC and if that can't be chance: were the term
+spread over documents without regard to the entity, then so many different texts with both would be found for one of all the pairs compared with a
+probability of `chance` at most (the Chernoff bound of the binomial tail, times the pairs). All is counted over whole documents and all documents; copies of a text
+are one piece of evidence. A disclosing term is generalised wherever it stands in the documents that hold the entity.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -28,8 +31,8 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 TERM = re.compile(r"[^\W\d_]{3,}")
-#: Words on each side of an entity that are judged; contexts that must agree; share of the entity's information that may not be told.
-BESIDE, CONTEXTS, SHARE = 12, 3, 0.9
+#: Share of an entity's information that may not be told; the probability of a pair of all that is disclosing by chance.
+SHARE, CHANCE = 0.9, 0.01
 #: Terms that a task counts before it hands them on.
 HELD = 400_000
 MASKS = {"email": "<EMAIL>", "ip": "<IP>", "card": "<CARD>", "phone": "<PHONE>", "term": "<TERM>"}
@@ -91,35 +94,42 @@ def entity(kind: str, value: str) -> str:
     return value.lower() if kind in ("email", "ip") else kind + "".join(c for c in value if c.isdigit())
 
 
-def contexts(text: str, spans: list[tuple[int, int, str]], beside: int = BESIDE) -> list[tuple[int, int, int, list[dict]]]:
-    """(entity, term, context, places of the term) for each entity and each term beside it."""
-    found: dict[tuple[int, int], tuple[int, list[dict]]] = {}
-    for a, b, kind in spans:
-        left = list(TERM.finditer(text, max(0, a - 24 * beside), a))[-beside:]
-        right = list(TERM.finditer(text, b, min(len(text), b + 24 * beside)))[:beside]
-        near = [m for m in left + right if not any(x < m.end() and m.start() < y for x, y, _ in spans)]
-        e, context = _hash(entity(kind, text[a:b])), _hash(" ".join(m[0].lower() for m in near))
-        for m in near:
-            places = found.setdefault((e, _hash(m[0].lower())), (context, []))[1]
-            places.append({"start": m.start(), "end": m.end()})
-    return [(e, t, c, places) for (e, t), (c, places) in found.items()]
-
-
-SPAN = pa.struct([("start", pa.int32()), ("end", pa.int32())])
-FOUND = "doc_id long, key long, tag long, n_email long, n_ip long, n_card long, n_phone long, base array<struct<start:int,end:int,kind:string>>, beside array<struct<entity:long,term:long,context:long,places:array<struct<start:int,end:int>>>>"
+FOUND = "doc_id long, key long, tag long, n_email long, n_ip long, n_card long, n_phone long, base array<struct<start:int,end:int,kind:string>>, entities array<long>, text string"
 
 
 def _find(batch: pa.RecordBatch) -> pa.RecordBatch:
-    base, beside, counts = [], [], []
+    """Base spans and entities of each document, and its text if it has any."""
+    base, entities, counts, kept = [], [], [], []
     for text in texts(batch):
         spans = base_spans(text)
         n = Counter(k for _, _, k in spans)
         counts.append([n[k] for k in KINDS[:4]])
         base.append([{"start": a, "end": b, "kind": k} for a, b, k in spans])
-        beside.append([{"entity": e, "term": t, "context": c, "places": p} for e, t, c, p in contexts(text, spans)] if spans else [])
+        entities.append(sorted({_hash(entity(k, text[a:b])) for a, b, k in spans}))
+        kept.append(text if spans else None)
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())]))
-    near = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("context", pa.int64()), ("places", pa.list_(SPAN))]))
-    return pa.record_batch([batch.column(0).cast(pa.int64()), batch.column(1), batch.column(2), *(pa.array(c, pa.int64()) for c in zip(*counts, strict=True)), pa.array(base, span), pa.array(beside, near)], [x.rsplit(" ", 1)[0] for x in FOUND.split(", ")])
+    return pa.record_batch([batch.column(0).cast(pa.int64()), batch.column(1), batch.column(2), *(pa.array(c, pa.int64()) for c in zip(*counts, strict=True)), pa.array(base, span), pa.array(entities, pa.list_(pa.int64())), pa.array(kept, pa.string())], [x.rsplit(" ", 1)[0] for x in FOUND.split(", ")])
+
+
+def outside(text: str, spans: list[tuple[int, int]]) -> Iterator[tuple[int, int, str]]:
+    """Begin, end and lower-case spelling of the terms that touch no span (spans by start)."""
+    i, reach = 0, 0
+    for m in TERM.finditer(text):
+        while i < len(spans) and spans[i][0] < m.end():
+            reach = max(reach, spans[i][1])
+            i += 1
+        if reach <= m.start():
+            yield m.start(), m.end(), m[0].lower()
+
+
+def _pairs(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """(entity, term, text) for the entities of each document and its terms."""
+    rows: list[tuple[int, int, int]] = []
+    for text, spans, entities in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        told = {_hash(t) for _, _, t in outside(text, [(s["start"], s["end"]) for s in spans])}
+        code = _hash(text)
+        rows += [(e, t, code) for e in entities for t in told]
+    return pa.record_batch([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)] if rows else [pa.array([], pa.int64())] * 3, ["entity", "term", "code"])
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,47 +149,71 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from out()
 
 
-def disclosed(found: DataFrame, terms: DataFrame, documents: int, *, contexts: int = CONTEXTS, share: float = SHARE) -> DataFrame:
-    """(entity, term) pairs above the threshold, with their pmi and ic in bits."""
-    pairs = found.select(F.explode("beside").alias("b")).select("b.entity", "b.term", "b.context")
-    both = pairs.groupBy("entity", "term", "context").agg(F.count("*").alias("n")).groupBy("entity", "term").agg(F.count("*").alias("contexts"), F.sum("n").alias("both"))
-    each = found.select("key", F.explode(F.array_distinct(F.transform("beside", lambda b: b["entity"]))).alias("entity")).groupBy("entity").agg(F.count("*").alias("docs"))
-    likely = both.where(F.col("contexts") >= contexts).join(each, "entity").join(terms, "term")
-    pmi = F.log2(F.col("both") * F.lit(float(documents)) / (F.col("docs") * F.col("n")))
-    ic = F.log2(F.lit(float(documents)) / F.col("docs"))
-    return likely.select("entity", "term", pmi.alias("pmi"), ic.alias("ic")).where("ic > 0").where(F.col("pmi") >= F.col("ic") * share)
-
+def disclosed(found: DataFrame, terms: DataFrame, documents: int, *, share: float = SHARE, chance: float = CHANCE) -> DataFrame:
+    """(entity, term) pairs above the threshold, with their pmi and ic in bits and the natural logarithm of the bound on chance.
 
-def sanitise(docs: DataFrame, *, contexts: int = CONTEXTS, share: float = SHARE) -> DataFrame:
-    """Per document doc_id, key, tag, the counts of base kinds, and arrays of spans: base, and terms that disclose an entity beside them.
+    Entities that stand in one text only are left out: one text, however many copies it has, is no evidence.
+    """
+    held = found.select("text", F.explode("entities").alias("entity"))
+    each = held.groupBy("entity").agg(F.count("*").alias("docs"), F.min(F.xxhash64("text")).alias("a"), F.max(F.xxhash64("text")).alias("b")).where("a < b").select("entity", "docs")
+    marked = found.where(F.size("entities") > 0).select("text", "base", "entities")
+    pairs = map_batches(marked, _pairs, "entity long, term long, code long").join(each.select("entity"), "entity", "left_semi")
+    both = pairs.groupBy("entity", "term", "code").agg(F.count("*").alias("n")).groupBy("entity", "term").agg(F.count("*").alias("texts"), F.sum("n").alias("both"))
+    both = cut(both)
+    tested = both.count()
+    likely = both.where("texts > 1").join(each, "entity").join(terms, "term")
+    total = F.lit(float(documents))
+    p, q = F.col("both") / F.col("n"), F.col("docs") / total
+    evidence = F.col("n") * F.col("texts") / F.col("both")
+    rest = F.when(p < 1, (1 - p) * F.log((1 - p) / (1 - q))).otherwise(0.0)
+    bound = F.log(F.lit(float(max(1, tested)))) - evidence * (p * F.log(p / q) + rest)
+    told = likely.where(F.col("docs") < documents).select("entity", "term", F.log2(p / q).alias("pmi"), (-F.log2(q)).alias("ic"), bound.alias("bound"))
+    return told.where(F.col("pmi") >= F.col("ic") * share).where(F.col("bound") <= math.log(chance))
+
+
+def _marks(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Spans of the disclosing terms of each document."""
+    more = []
+    for text, spans, wanted in zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True):
+        wanted = set(wanted)
+        more.append([{"start": a, "end": b} for a, b, t in outside(text, [(s["start"], s["end"]) for s in spans]) if _hash(t) in wanted])
+    return pa.record_batch([batch.column(0), batch.column(1), pa.array(more, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))], ["_key", "_tag", "more"])
+
+
+def sanitise(docs: DataFrame, *, share: float = SHARE, chance: float = CHANCE) -> DataFrame:
+    """Per document doc_id, key, tag, the counts of base kinds, and arrays of spans: base, and terms that disclose an entity of the document.
 
     Null and empty text: none. Null doc_ids are kept; repeated rows are told apart from others by doc_id and text, count as documents of their own
-    and get the same spans; copies of one text are one context, so they alone prove nothing. No rows give no rows; only doc_id and text are read. A
-    span of a term never overlaps a base span.
+    and get the same spans; copies of one text are one piece of evidence, so they alone prove nothing. No rows give no rows; only doc_id and text are read. A
+    span of a term never touches a base span.
     """
     keyed = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), F.xxhash64("text", F.lit(1), "doc_id").alias("tag"), "text")
     small_batches(docs.sparkSession)
     found = cut(map_batches(keyed, _find, FOUND))
     terms = docs.select("text").mapInArrow(_frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    pairs = disclosed(found, terms, found.count(), contexts=contexts, share=share)
-    beside = found.where(F.size("beside") > 0).select("key", "tag", F.explode("beside").alias("b")).select("key", "tag", "b.entity", "b.term", "b.places")
-    more = beside.join(pairs, ["entity", "term"]).groupBy("key", "tag").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("more")).select(F.col("key").alias("_key"), F.col("tag").alias("_tag"), "more")
-    return found.drop("beside").join(more, (F.col("key") == F.col("_key")) & (F.col("tag") == F.col("_tag")), "left").drop("_key", "_tag")
+    pairs = disclosed(found, terms, found.count(), share=share, chance=chance)
+    holders = found.where(F.size("entities") > 0).select("key", "tag", F.explode("entities").alias("entity")).distinct()
+    wanted = holders.join(pairs.select("entity", "term"), "entity").groupBy(F.col("key").alias("_key"), F.col("tag").alias("_tag")).agg(F.collect_set("term").alias("wanted"))
+    told = found.where(F.size("entities") > 0).dropDuplicates(["key", "tag"]).join(wanted, (F.col("key") == F.col("_key")) & (F.col("tag") == F.col("_tag"))).select("key", "tag", "text", "base", "wanted")
+    more = map_batches(told, _marks, "_key long, _tag long, more array<struct<start:int,end:int>>")
+    return found.drop("entities", "text").join(more, (F.col("key") == F.col("_key")) & (F.col("tag") == F.col("_tag")), "left").drop("_key", "_tag")
 
 
 def pii(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, counts, base_sha256 and spans of sanitise()."""
+    """doc_id, counts, base_sha256 and spans of sanitise(), and how many spans there are: of terms, and in all."""
 
     def digest(batch: pa.RecordBatch) -> pa.RecordBatch:
-        base, spans = [], []
+        base, spans, terms, n = [], [], [], []
         for b, m in zip(batch.column(5).to_pylist(), batch.column(6).to_pylist(), strict=True):
             direct = [(s["start"], s["end"], s["kind"]) for s in b]
             every = sorted(direct + [(s["start"], s["end"], "term") for s in m or ()], key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
             base.append(hashlib.sha256(told(direct).encode()).hexdigest())
             spans.append(told(every))
-        return pa.record_batch([*batch.columns[:5], pa.array(base), pa.array(spans)], ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
+            terms.append(len(m or ()))
+            n.append(len(every))
+        return pa.record_batch([*batch.columns[:5], pa.array(base), pa.array(spans), pa.array(terms, pa.int64()), pa.array(n, pa.int64())], ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_term", "n_spans"])
 
-    return map_batches(sanitise(docs, **options).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base", "more"), digest, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    return map_batches(sanitise(docs, **options).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base", "more"), digest, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_term long, n_spans long")
 
 
 def masked(text: str, spans: list[tuple[int, int, str]]) -> str:
@@ -193,11 +227,14 @@ def masked(text: str, spans: list[tuple[int, int, str]]) -> str:
 
 
 def redact(docs: DataFrame, **options) -> DataFrame:
-    """The documents with personal data generalised; n_chars, if there is one, counts what there is then."""
+    """The documents, with all columns, with personal data generalised; n_chars, if there is one, counts what there is then.
+
+    Null text stays null. Null doc_ids are kept; repeated rows get the same masks; no rows give no rows; columns may have any names.
+    """
     names, schema = docs.columns, docs.schema
-    spans = sanitise(docs, **options).groupBy("key", "tag").agg(F.first("base").alias("_base"), F.first("more").alias("_more"))
+    spans = sanitise(docs.select("doc_id", "text"), **options).groupBy("key", "tag").agg(F.first("base").alias("_base"), F.first("more").alias("_more"))
     spans = spans.where((F.size("_base") > 0) | (F.size("_more") > 0)).select(F.col("key").alias("_k"), F.col("tag").alias("_t"), "_base", "_more")
-    rows = docs.select(F.struct(*names).alias("_row"), F.xxhash64("doc_id", "text").alias("_key"), F.xxhash64("text", F.lit(1), "doc_id").alias("_tag"))
+    rows = docs.select(F.struct(*(F.col(f"`{n}`") for n in names)).alias("_row"), F.xxhash64("doc_id", "text").alias("_key"), F.xxhash64("text", F.lit(1), "doc_id").alias("_tag"))
     joined = rows.join(spans, (F.col("_key") == F.col("_k")) & (F.col("_tag") == F.col("_t")), "left").select("_row.*", "_base", "_more")
     joined = joined.toDF(*(f"c{i}" for i in range(len(names))), "_base", "_more")
     at = names.index("text")

@@ -1,5 +1,7 @@
 import hashlib
+import math
 import re
+from collections import Counter, defaultdict
 
 from corpusloom.llm.pii_infotheoretic import base_spans, luhn, op8_pii_infotheoretic, pii, redact
 
@@ -65,3 +67,54 @@ def test_terms_that_give_an_entity_away(spark):
     said = "On day one the clerk <TERM> wrote to <EMAIL> about rain and left."
     assert (0, said, len(said), "k") in kept
     assert (None, None, None, "k") in kept and (10, rows[4][1], 0, "k") in kept
+
+
+def terms(text):
+    spans = plain(text)
+    return [(m.start(), m.end(), m[0].lower()) for m in re.finditer(r"[^\W\d_]{3,}", text) if not any(a < m.end() and m.start() < b for a, b, _ in spans)]
+
+
+def plain_terms(rows, share=0.9, chance=0.01):
+    """Spans of the disclosing terms of each row, told from the definition."""
+    value = lambda t, a, b, k: t[a:b].lower() if k in ("email", "ip") else k + re.sub("[^0-9]", "", t[a:b])
+    held = [{value(t, *s) for s in plain(t)} for t in rows]
+    said = [{w for _, _, w in terms(t)} for t in rows]
+    n_term = Counter(w for t in rows for w in set(re.findall(r"[^\W\d_]{3,}", t.lower())))
+    n_entity, texts = Counter(e for h in held for e in h), defaultdict(set)
+    both, evidence = Counter(), defaultdict(set)
+    for t, h, s in zip(rows, held, said, strict=True):
+        for e in h:
+            texts[e].add(t)
+            for w in s:
+                both[e, w] += 1
+                evidence[e, w].add(t)
+    pairs = [x for x in both if len(texts[x[0]]) > 1]
+    told = set()
+    for e, w in pairs:
+        p, q, k = both[e, w] / n_term[w], n_entity[e] / len(rows), len(evidence[e, w])
+        if k > 1 and q < 1 and math.log2(p / q) >= -share * math.log2(q):
+            far = p * math.log(p / q) + ((1 - p) * math.log((1 - p) / (1 - q)) if p < 1 else 0)
+            if math.log(len(pairs)) - n_term[w] * k / both[e, w] * far <= math.log(chance):
+                told.add((e, w))
+    return [[(a, b) for a, b, w in terms(t) if any((e, w) in told for e in h)] for t, h in zip(rows, held, strict=True)]
+
+
+def test_terms_equal_brute_force_over_all_documents(spark):
+    docs = [(r.doc_id, r.text or "") for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    some = [t for _, t in docs if plain(t)][:12]
+    docs += [(10_000 + i, f"{t} edited {i}") for i, t in enumerate(some)] + [(20_000 + i, f"newword{i} {t}") for i, t in enumerate(some[:6])]
+    docs += [(30_000 + i, docs[i][1]) for i in range(40)] + [(None, some[0]), (40_000, some[1] + " once more"), (40_000, some[1] + " once more")]
+    want = plain_terms([t for _, t in docs])
+    assert sum(map(bool, want)) > 20
+    assert not all(map(bool, want[1000:]))
+    df = spark.createDataFrame([(d, t, "x", 1) for d, t in docs], "doc_id long, text string, term string, entity int").repartition(6)
+    got = sorted((r.doc_id or -1, [tuple(map(int, s.split(":")[1:])) for s in r.spans.split(",") if s.startswith("term:")], r.n_term, r.n_spans) for r in pii(df).collect())
+    assert got == sorted((d or -1, w, len(w), len(w) + len(plain(t))) for (d, t), w in zip(docs, want, strict=True))
+
+
+def test_very_long_text(spark):
+    rows = [(i, f"{'filler word ' * 120_000}{x} Zebulon zeb@mail.example.org {x} " + "end " * 1000 + "zebulon.") for i, x in enumerate(("one", "two", "three"))] + [(10 + i, f"filler word end number {i}") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in pii(df).where("doc_id < 3").collect():
+        text = rows[r.doc_id][1]
+        assert [text[int(a) : int(b)] for k, a, b in (s.split(":") for s in r.spans.split(",")) if k == "term"] == ["Zebulon", "zebulon"]
