@@ -18,6 +18,8 @@ SPACE = "\x20\x09-\x0d"
 WORD = re.compile(rf"[^{SPACE}]+")
 #: Rows and bytes of a batch that is handed to Python, so that long texts don't fill a worker.
 BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+#: Links that one task settles; links of a node that are not sent to one task.
+FEW_LINKS, HOT_NODE = 1 << 18, 1 << 16
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,24 +47,36 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
     return df.mapInArrow(run, schema)
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share."""
+def shared_base(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir. A temporary one stands in for it on a local master only."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        sc = spark.sparkContext
-        base = sc._jsc.sc().getCheckpointDir()
+        base = spark.sparkContext._jsc.sc().getCheckpointDir()
         base = base.get() if base.isDefined() else None
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir is not set, and executors share no other folder")
         base = f"file://{tempfile.gettempdir()}/corpusloom-shared"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return base.rstrip("/")
+
+
+def shared_dir(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that driver and executors share."""
+    return f"{shared_base(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Remove a folder that shared_dir() named, in whatever store it is."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage: what has been computed is kept in the shared checkpoint folder."""
     sc = df.sparkSession.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        base = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(base or f"file://{tempfile.gettempdir()}/corpusloom-checkpoints")
+        sc.setCheckpointDir(shared_base(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
@@ -142,57 +156,68 @@ def covered(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def _forest(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """Links (a, b) to as few links with the same components; memory is bounded by `most` nodes."""
-    up: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        top = x
-        while (p := up.get(top, top)) != top:
-            top = p
-        while x != top:
-            up[x], x = top, up.get(x, x)
-        return top
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        pairs = [(r, x) for x in list(up) if (r := root(x)) != x]
-        up.clear()
-        for i in range(0, len(pairs), 1 << 16):
-            a, b = zip(*pairs[i : i + (1 << 16)], strict=True)
-            yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-    for batch in batches:
-        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            a, b = root(a), root(b)
-            if a != b:
-                low, high = (a, b) if a < b else (b, a)
-                up[high] = low
-                up.setdefault(low, low)
-        if len(up) > most:
-            yield from flush()
-    yield from flush()
-
-
-def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
+def _forest(most: int | None = 1 << 20) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Links (a, b) to as few links with the same components; memory is bounded by `most` nodes, or by the links."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        up: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            top = x
+            while (p := up.get(top, top)) != top:
+                top = p
+            while x != top:
+                up[x], x = top, up.get(x, x)
+            return top
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            pairs = [(r, x) for x in list(up) if (r := root(x)) != x]
+            up.clear()
+            for i in range(0, len(pairs), 1 << 16):
+                a, b = zip(*pairs[i : i + (1 << 16)], strict=True)
+                yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                a, b = root(a), root(b)
+                if a != b:
+                    low, high = (a, b) if a < b else (b, a)
+                    up[high] = low
+                    up.setdefault(low, low)
+            if most is not None and len(up) > most:
+                yield from flush()
+        yield from flush()
+
+    return run
+
+
+def _with_least(links: DataFrame, by: str, value: str, hot: int) -> DataFrame:
+    """Each link with `m`, the least `value` of those with the same `by`. Groups of over `hot` links, of which there are few, are joined where they lie."""
+    least = links.groupBy(F.col(by).alias("u")).agg(F.min(value).alias("m"), F.count("*").alias("n"))
+    few = links.join(least.where(F.col("n") <= hot), F.col(by) == F.col("u"))
+    return few.union(links.join(F.broadcast(least.where(F.col("n") > hot)), F.col(by) == F.col("u")))  # 2 * links / hot rows at most
+
+
+def components(edges: DataFrame, few: int = FEW_LINKS, hot: int = HOT_NODE) -> DataFrame:
     """node, component (the least node reachable) for every node of the links `edges(a, b)`.
 
-    Each task first reduces its links to a forest; then large-star and small-star steps alternate until the
-    links are stars. Links move between tasks by node only; nothing but two numbers a round goes to the driver.
-    Null ends are dropped, loops and repeats change nothing; no links give no rows.
+    Each task first reduces its links to a forest. If at most `few` links are left, one task settles them; else large-star and small-star
+    steps alternate until the links are stars. Links move between tasks by node only, those of a node with many stay where they are, and nothing but
+    three numbers a round goes to the driver. Null ends are dropped, loops and repeats change nothing; no links give no rows.
     """
     links = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a is not null and b is not null and a <> b")
-    now = cut(links.mapInArrow(_forest, "a long, b long").distinct())
+    now = cut(links.mapInArrow(_forest(), "a long, b long").distinct())
+    left = now.count()
+    if left <= few:
+        now = cut(now.coalesce(1).mapInArrow(_forest(None), "a long, b long")) if left else now
     before = None
-    for _ in range(rounds):
+    while left > few:
         seen = now.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("h"), F.sum(F.col("a").cast("decimal(38,0)")).alias("s")).first()
-        if seen["n"] == 0 or seen == before:
+        if seen == before:
             break
         before = seen
-        both = now.union(now.select("b", "a"))
-        least = both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, F.col("a") == F.col("u")).where("b > a").select(F.col("m").alias("a"), F.col("b")).where("a <> b").distinct()
-        low = large.groupBy(F.col("b").alias("u")).agg(F.min("a").alias("m"))
-        small = large.join(low, F.col("b") == F.col("u"))
-        now = cut(small.select(F.col("m").alias("x"), F.col("a").alias("y")).union(low.select("m", "u")).where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
+        large = _with_least(now.union(now.select("b", "a")), "a", "b", hot).where("b > a").select(F.least("a", "m").alias("a"), "b").where("a <> b").distinct()
+        small = _with_least(large, "b", "a", hot)
+        now = cut(small.select(F.col("m").alias("x"), F.col("a").alias("y")).union(small.select("m", "b")).where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
     roots = now.select(F.col("a").alias("node"), F.col("a").alias("component"))
     return now.select(F.col("b").alias("node"), F.col("a").alias("component")).union(roots.distinct())

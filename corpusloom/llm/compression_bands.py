@@ -210,17 +210,19 @@ def keep_good(docs: DataFrame, *, bands=BANDS, chunk_band=CHUNK_BAND) -> DataFra
     Columns may have any names, as rows pass through as they are.
     """
 
+    names = docs.columns
+    at = names.index("text")
+
     def judge(batch: pa.RecordBatch) -> pa.RecordBatch:
         band = Bands(bands, chunk_band=chunk_band)
-        at = batch.schema.get_field_index("text")
         good = []
         for text in (x or "" for x in batch.column(at).to_pylist()):
             raw = text.encode("utf-8", "surrogatepass")
             words = raw.split()
             good.append(len(words) >= 50 and 100 * repeat_words(words) <= 50 * len(words) and band.verdict(raw)[3] is None)
-        return batch.filter(pa.array(good, pa.bool_()))
+        return pa.record_batch(batch.filter(pa.array(good, pa.bool_())).columns, names)
 
-    return map_batches(docs, judge, StructType(docs.schema.fields))
+    return map_batches(docs.toDF(*(f"c{i}" for i in range(len(names)))), judge, StructType(docs.schema.fields))
 
 
 def op1_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import components, cut, small_batches
@@ -222,19 +222,14 @@ def embedding_links(vectors: DataFrame, *, cosine: float = COSINE, lead: int = L
     directions = axes(unit(matrix(taken.column("embedding").combine_chunks(), width)) if total else np.zeros((0, width)), lead)
     eps = math.sqrt(2 - 2 * cosine)
 
-    # the sequence, dealt into segments in its order
+    # the sequence, dealt into segments in its order; small tables get more of them, so that there is work for all
+    segment = min(segment, max(LEAF * 4, total // 16))
     count = max(1, -(-total // segment))
     graded = classes.select("embedding", "rep", "n").mapInArrow(_grid(directions, width, eps), "embedding array<double>, rep long, n long, cell long")
     dealt = cut(graded.repartitionByRange(count, "cell", "rep").select("embedding", "rep", "n", "cell", F.spark_partition_id().alias("part")))
-    parts = sorted((r["part"], r["count"]) for r in dealt.groupBy("part").count().collect())
-    joined, segments, held = {}, 0, 0
-    for part, n in parts:
-        if held and held + n > 1.5 * segment:
-            segments, held = segments + 1, 0
-        joined[part] = segments
-        held += n
-    named = spark.createDataFrame(list(joined.items()), "part int, segment int")
-    placed = dealt.join(F.broadcast(named), "part").select("embedding", "segment", "rep", "n")
+    sizes = dealt.groupBy("part").agg(F.count("*").alias("size"))
+    before = F.sum("size").over(Window.orderBy("part")) - F.col("size")  # over a row a partition
+    placed = dealt.join(sizes.select("part", F.floor(before / segment).cast("int").alias("segment")), "part").select("embedding", "segment", "rep", "n")
 
     # segments whose boxes are near; they meet on the cells of the first dimension
     dims = directions.shape[1] + 1
@@ -255,9 +250,11 @@ def embedding_links(vectors: DataFrame, *, cosine: float = COSINE, lead: int = L
     known = classes.join(degrees, "rep", "left").join(linked, F.col("rep") == F.col("node"), "left").withColumn("group", F.coalesce("component", "rep"))
     named = known.groupBy("group").agg(F.min("least").alias("_component"))
     known = known.join(named, "group").select(F.col("embedding").alias("_vector"), (F.col("n") - 1 + F.coalesce("more", F.lit(0))).alias("_links"), "_component")
-    out = rows.withColumn("_key", F.when(F.col("vec_id").isNotNull() & F.coalesce(good, F.lit(False)), F.col("embedding"))).join(known, F.col("_key") == F.col("_vector"), "left")
-    component = F.coalesce("_component", "vec_id")
-    return out.select("vec_id", F.coalesce("_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
+    linked = fit.join(known, F.col("embedding") == F.col("_vector")).select("vec_id", "_links", "_component")
+    # all other rows, which link with nothing
+    fits = F.col("vec_id").isNotNull() & F.coalesce(good, F.lit(False))
+    out = linked.union(rows.where(~fits).select("vec_id", F.lit(0).cast("long"), "vec_id"))
+    return out.select("vec_id", F.col("_links").cast("long").alias("n_links"), F.col("_component").alias("component_id"), F.coalesce(F.col("vec_id") == F.col("_component"), F.lit(True)).alias("kept"))
 
 
 def op7_ego_join(spark: SparkSession, sf_dir: str) -> DataFrame:

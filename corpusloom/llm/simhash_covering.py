@@ -34,7 +34,11 @@ def fingerprint(raw: bytes, width: int = WORDS, seed: int = SEED) -> int:
     starts = np.concatenate([[0], ends[:-width]]).tolist()
     stops = (ends[width - 1 :] - 1).tolist()
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter([digest(text[a:b], seed) for a, b in zip(starts, stops, strict=True)], np.uint64, len(starts))
+    return majority(np.fromiter([digest(text[a:b], seed) for a, b in zip(starts, stops, strict=True)], np.uint64, len(starts)))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The number whose bits are set in over half of the hashes."""
     votes = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * votes > len(hashes), bitorder="little").view("<u8")[0])
 
@@ -157,11 +161,5 @@ def simhash_components(docs: DataFrame, *, width: int = WORDS, seed: int = SEED,
     return fps.join(known, "fp", "left").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
-def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
-    """All columns of the documents with the least doc_id of their component; rows without doc_id stay."""
-    gone = simhash_components(docs, **options).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
-
-
 def op6_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(documents(spark, sf_dir))

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import documents, map_batches, texts
@@ -22,8 +22,8 @@ from .common import documents, map_batches, texts
 TOKEN = re.compile(r"[^\W\d_]+|[.!?\n]+")
 STOPS = frozenset(".!?\n")
 SLOTS, STEMS = 1 << 18, (4, 5, 6)
-#: Labelled documents of each class that the model is fitted on, at most: those with the least hashes of their ids.
-SAMPLE = 3000
+#: Labelled documents of each class that the model is fitted on, at most: those with the least hashes of their ids; bytes of their texts, up to one text more.
+SAMPLE, SAMPLE_BYTES = 3000, 16 << 20
 EPOCHS, RATE, SHRINK, START = 160, 0.3, 2e-4, -10.0
 CACHE = 500_000
 
@@ -139,22 +139,24 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Model:
-    """Fit on at most `sample` labelled documents of each class that are not held out; classes weigh as they occur.
+def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> Model:
+    """Fit on at most `sample` labelled documents of each class that are not held out, and `sample_bytes` of their texts; classes weigh as they occur.
 
     Of several labels of one document the highest counts; null labels and ids are left out. With no labels of one class, nothing is toxic
     (or, if all are, what has a sentence is).
     """
     marked = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id"))).groupBy(F.col("doc_id").alias("_id")).agg(F.max((F.col("toxic") > 0).cast("int")).alias("_toxic"))
     counts = {r["_toxic"]: r["count"] for r in marked.groupBy("_toxic").count().collect()}
-    picked = [marked.where(F.col("_toxic") == c).withColumn("_h", F.xxhash64("_id")).orderBy("_h", "_id").limit(sample).select("_id", "_toxic") for c in (0, 1)]
+    picked = [marked.where(F.col("_toxic") == c).withColumn("_h", F.xxhash64("_id")).orderBy("_h", "_id").limit(sample).select("_id", "_toxic", "_h") for c in (0, 1)]
     few = F.broadcast(picked[0].union(picked[1]))  # at most 2 * sample rows
 
     def features(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = [[[i for w in s for i in slots(w)] for s in sentences(t)] for t in texts(batch)]
         return pa.record_batch([batch.column(0), batch.column(1), pa.array(rows, pa.list_(pa.list_(pa.int32())))], ["doc_id", "toxic", "bags"])
 
-    joined = docs.join(few, docs["doc_id"] == F.col("_id")).select(docs["doc_id"], F.col("_toxic").alias("toxic"), docs["text"])
+    joined = docs.select("doc_id", "text").join(few, F.col("doc_id") == F.col("_id")).withColumn("_n", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
+    before = F.sum("_n").over(Window.partitionBy("_toxic").orderBy("_h", "_id", F.xxhash64("text")).rowsBetween(Window.unboundedPreceding, -1))
+    joined = joined.where(F.col("_n") < sample_bytes).withColumn("_before", F.coalesce(before, F.lit(0))).where(F.col("_before") < sample_bytes).select("doc_id", F.col("_toxic").alias("toxic"), "text")
     rows = map_batches(joined, features, "doc_id long, toxic int, bags array<array<int>>").toArrow().sort_by("doc_id")
     y = rows.column("toxic").to_numpy().astype(np.int64)
     bags = []

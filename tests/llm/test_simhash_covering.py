@@ -1,10 +1,11 @@
 import itertools
 import random
 
+import pytest
 import xxhash
 
-from corpusloom.llm.common import components
-from corpusloom.llm.simhash_covering import covering_masks, drop_near_copies, near_links, op6_simhash_covering, simhash_components
+from corpusloom.llm.common import components, shared_base
+from corpusloom.llm.simhash_covering import covering_masks, near_links, op6_simhash_covering, simhash_components
 
 from .conftest import DATA
 
@@ -66,9 +67,53 @@ def test_large_buckets_in_blocks(spark):
 
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(500)] + [(1000, 1000 + i) for i in range(1, 50)] + [(7, 7), (None, 3), (2001, 2000), (2000, 2001)]
-    got = {r.node: r.component for r in components(spark.createDataFrame(chain, "a long, b long").repartition(7)).collect()}
-    assert got == {**{i: 0 for i in range(501)}, **{1000 + i: 1000 for i in range(50)}, 2000: 2000, 2001: 2000}
-    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+    df = spark.createDataFrame(chain, "a long, b long").repartition(7)
+    for options in ({}, {"few": 0}, {"few": 0, "hot": 3}):
+        got = {r.node: r.component for r in components(df, **options).collect()}
+        assert got == {**{i: 0 for i in range(501)}, **{1000 + i: 1000 for i in range(50)}, 2000: 2000, 2001: 2000}
+        assert components(df.limit(0), **options).count() == 0
+
+
+def test_components_of_random_links(spark):
+    rng = random.Random(12)
+    links = [(rng.randrange(900), rng.randrange(900)) for _ in range(420)]
+    want = plain_components(range(900), lambda a, b, found={*links}: (a, b) in found or (b, a) in found)
+    df = spark.createDataFrame(links, "a long, b long").repartition(5)
+    for options in ({}, {"few": 0, "hot": 2}):
+        got = {r.node: r.component for r in components(df, **options).collect()}
+        assert {i: got.get(i, i) for i in range(900)} == want
+
+
+def test_very_long_text(spark):
+    texts = {1: "one two three four five " * 200_000, 2: "one two three four five " * 200_000 + "six", 3: "x" * 3_000_000}
+    df = spark.createDataFrame([*texts.items()], "doc_id long, text string")
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash_components(df).collect()}
+    assert got == {1: (got[1][0], 1), 2: (got[2][0], 1), 3: (f"{plain_fingerprint(texts[3]):016x}", 3)}
+
+
+def test_no_folder_of_one_machine_on_a_cluster(spark):
+    class Cluster:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda *_: None)
+
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+
+            class _jsc:  # noqa: N801
+                @staticmethod
+                def sc():
+                    class Context:
+                        @staticmethod
+                        def getCheckpointDir():
+                            class Empty:
+                                isDefined = staticmethod(lambda: False)
+
+                            return Empty
+
+                    return Context
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared_base(Cluster)
 
 
 def test_nulls_repeats_and_nothing(spark):
@@ -76,4 +121,5 @@ def test_nulls_repeats_and_nothing(spark):
     got = sorted(((r.doc_id, r.component_id) for r in simhash_components(df).collect()), key=str)
     assert got == sorted([(3, 2), (2, 2), (None, 2), (5, 5), (5, 5), (None, None)], key=str)
     assert simhash_components(df.limit(0)).count() == 0
-    assert sorted((r.fp for r in drop_near_copies(df).collect())) == ["g", "h", "i", "j", "k"]
+    assert sorted((r.doc_id, r.kept) for r in simhash_components(df).collect() if r.doc_id) == [(2, True), (3, False), (5, True), (5, True)]
+    assert all(r.kept for r in simhash_components(df).collect() if r.doc_id is None)
