@@ -63,6 +63,11 @@ def epoch_iso(seconds: Column) -> Column:
     return F.date_format(F.timestamp_seconds(seconds), "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
+def now_iso(clock: Column | None = None) -> Column:
+    """The time, or that of `clock`, as ISO seconds in UTC."""
+    return F.date_format(F.to_utc_timestamp(F.current_timestamp() if clock is None else clock, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+
+
 def minute_text(ts: Column) -> Column:
     return F.date_format(ts, "yyyyMMddHHmm")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -11,8 +12,8 @@ from pyspark.sql import functions as F
 WS = r"[\s\x1c-\x1f\x85\p{Z}]"
 #: What \\w does not match in Python, white space apart.
 PUNCT = r"[^\p{L}\p{N}_\s\x1c-\x1f\x85\p{Z}]"
-#: Spelled-out Greek letters of polymer names.
-GREEK = {"α": "alpha", "β": "beta", "γ": "gamma", "δ": "delta", "ε": "epsilon", "ζ": "zeta", "η": "eta", "θ": "theta", "κ": "kappa", "λ": "lambda", "μ": "mu", "π": "pi", "ω": "omega"}
+#: The Greek letters that titles spell out.
+GREEK = {"α": "alpha", "β": "beta", "γ": "gamma", "δ": "delta", "ε": "epsilon", "θ": "theta", "κ": "kappa", "λ": "lambda", "μ": "mu", "π": "pi", "σ": "sigma", "φ": "phi", "ω": "omega"}
 
 
 def py_strip(x: Column) -> Column:
@@ -58,8 +59,9 @@ def title_basic(x: Column) -> Column:
 
 
 def spell_greek(x: Column) -> Column:
+    """Greek letters as words of their own."""
     for letter, name in GREEK.items():
-        x = F.replace(x, F.lit(letter), F.lit(name))
+        x = F.replace(x, F.lit(letter), F.lit(f" {name} "))
     return x
 
 
@@ -186,6 +188,39 @@ def date_window(start: Column, end: Column) -> Column:
     return F.concat(F.lit("submittedDate:["), F.date_format(start, f), F.lit(" TO "), F.date_format(end, f), F.lit("]"))
 
 
+def percent_encoded(x: Column, safe: str = "/") -> Column:
+    """UTF-8 bytes as %XX, but for letters, digits, `_.-~` and the safe characters."""
+    out = F.replace(F.replace(F.replace(F.url_encode(x), F.lit("+"), F.lit("%20")), F.lit("%7E"), F.lit("~")), F.lit("*"), F.lit("%2A"))
+    for c in safe:
+        out = F.replace(out, F.lit(f"%{ord(c):02X}"), F.lit(c))
+    return out
+
+
+def publisher_query(keywords: Column, publisher: Column) -> Column:
+    """`PUBLISHER(name) AND TITLE-ABS-KEY(keywords)`, either alone where the other is missing."""
+    parts = F.array(F.when(~is_missing(publisher), F.concat(F.lit("PUBLISHER("), publisher, F.lit(")"))), F.when(~is_missing(keywords), F.concat(F.lit("TITLE-ABS-KEY("), keywords, F.lit(")"))))
+    return F.array_join(F.filter(parts, lambda p: p.isNotNull()), " AND ")
+
+
+def has_abstract(x: Column) -> Column:
+    """Whether there is an abstract: null, blank and 'Not Found' are none."""
+    return F.coalesce(~is_missing(x) & (x != "Not Found"), F.lit(False))
+
+
+def quoted_identifier(name: str) -> str:
+    """An identifier quoted for SQL; a NUL can't be."""
+    if "\0" in name:
+        raise ValueError("an identifier holds no NUL")
+    return "`" + name.replace("`", "``") + "`"
+
+
+def guarded_name(name: str) -> str:
+    """A table name that needs no quotes: letters, digits and underscores, no digit first."""
+    if not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", name):
+        raise ValueError(f"no table name: {name!r}")
+    return name
+
+
 def rstrip_lines(x: Column) -> Column:
     return F.regexp_replace(x, r"(?m)[ \t]+$", "")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +19,26 @@ def insert_ignore(old: DataFrame, new: DataFrame, keys: Sequence[str], *order: C
     return old.unionByName(fresh)
 
 
+def insert_counts(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row of what insert_ignore() does: rows inserted, rows whose key was there or came before, rows without a key."""
+    keyed = F.lit(True)
+    for k in keys:
+        keyed = keyed & F.col(k).isNotNull()
+    groups = new.groupBy(*keys).agg(F.count("*").alias("_n")).join(old.select(*keys).distinct().withColumn("_old", F.lit(1)), list(keys), "left")
+    fresh = keyed & F.col("_old").isNull()
+    some = lambda c: F.coalesce(F.sum(F.when(c, F.col("_n"))), F.lit(0)).cast("bigint")
+    return groups.agg(F.count_if(fresh).alias("inserted"), (some(keyed) - F.count_if(fresh)).alias("ignored"), some(~keyed).alias("skipped"))
+
+
+def rebuilt(df: DataFrame, path: str, change: Callable[[DataFrame], DataFrame], keys: Sequence[str] = ()) -> DataFrame:
+    """A changed copy of a table under a new path, if it has as many rows and its keys are unique; else the copy stays aside and an error is raised."""
+    change(df).write.mode("errorifexists").parquet(path)
+    new = df.sparkSession.read.parquet(path)
+    if (before := df.count()) != (after := new.count()):
+        raise ValueError(f"{before} rows became {after}")
+    return unique_or_raise(new, keys) if keys else new
+
+
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], sequence: str) -> DataFrame:
     """New rows replace old ones of their key; of several the one with the greatest `sequence`."""
     latest = keep_first(new, keys, -F.col(sequence))

@@ -11,9 +11,10 @@ from pyspark.sql.types import BooleanType
 
 from ..functions.text import is_missing, rstrip_lines
 
+#: The fields of the records that models are asked for. The year is text, as papers say it.
 MEASURE = "struct<property_value_raw:string,property_unit:string,method:string,notes:string>"
 SAMPLE = f"struct<sample_label:string,sample_aliases:array<string>,polymer_name_raw:string,polymer_abbreviation:string,architecture_raw:string,polymerization_reaction_raw:string,synthesis_procedure_text:string,glass_transition_temperatures:{MEASURE},needs_review:boolean,notes:string>"
-RESULT = f"struct<paper:struct<title:string,doi:string,year:int,journal:string>,samples:array<{SAMPLE}>>"
+RESULT = f"struct<paper:struct<title:string,doi:string,year:string,journal:string>,samples:array<{SAMPLE}>>"
 
 
 def prompt(title: str | None, body: str | None) -> str:

@@ -65,6 +65,12 @@ def retried(df: DataFrame, column: str, status: str) -> DataFrame:
     return df.withColumn(column, F.when(F.col(column) != status, F.col(column)))
 
 
+def retry_counts(df: DataFrame, column: str, status: str) -> DataFrame:
+    """(moment, count) of rows with the error status, before retried() and after."""
+    bad = lambda d, when: d.agg(F.count_if(F.coalesce(F.col(column) == status, F.lit(False))).alias("count")).select(F.lit(when).alias("moment"), "count")
+    return bad(df, "before").union(bad(retried(df, column, status), "after"))
+
+
 def audit(state: DataFrame) -> DataFrame:
     """(metric, count) of the queue: more than one attempt, failures that differ from attempts, sources tried."""
     metrics = {"papers": F.lit(True), "retried": F.col("attempt_count") > 1, "failed": F.col("download_status") == "failed", "all_attempts_failed": F.col("failures") == F.col("attempt_count")}

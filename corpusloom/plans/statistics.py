@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.convert import percent
 from ..functions.text import is_filled_sql
+from ..functions.unicode import title_full
 
 
 def per_source(df: DataFrame) -> DataFrame:
@@ -86,6 +87,13 @@ def groups(df: DataFrame, key: str) -> DataFrame:
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("row_count"), F.size(sources).cast("bigint").alias("source_count"), F.array_join(sources, ",").alias("sources"), F.array_join(F.transform(ids, lambda i: i.cast("string")), ",").alias("ids"), F.min_by("title", "staging_id").alias("first_title"))
 
 
+def title_lists(df: DataFrame, key: str, title: str = "title") -> DataFrame:
+    """Rows of each key, and its different titles: as they are and normalised, each in order. A key has few titles, as it names one paper."""
+    raw, plain = F.array_sort(F.collect_set(title)), F.array_sort(F.collect_set("_plain"))
+    named = df.where(F.col(key).isNotNull()).withColumn("_plain", title_full(F.col(title)))
+    return named.groupBy(key).agg(F.count("*").alias("row_count"), F.size(raw).cast("bigint").alias("title_count"), F.size(plain).cast("bigint").alias("normalised_count"), F.array_join(raw, "|").alias("titles"), F.array_join(plain, "|").alias("normalised"))
+
+
 def agreement(df: DataFrame, a: Column, b: Column, digits: int = 6) -> DataFrame:
     """Share of equal binary labels and Cohen's kappa (1 if chance alone would agree always)."""
     x, y = a.cast("double"), b.cast("double")

@@ -41,9 +41,31 @@ def registry_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.merged(papers(spark, sf_dir))
 
 
-@query(MERGED + """SELECT v.c AS "check", CAST(0 AS BIGINT) AS issue_count, true AS passed FROM (SELECT unnest(['missing_identifier','inconsistent_identifier','missing_canonical_source','wrong_source_count','wrong_initial_status','order_not_canonical','duplicate_uid','duplicate_identifier','duplicate_doi']) AS c) v, (SELECT count(*) FROM merged) n""")
+FAULTY = """, f AS (SELECT paper_id, CASE WHEN paper_id % 29 = 0 THEN 'ID000000000' ELSE printf('ID%09d', paper_id) END AS paper_uid, identifier_type, arxiv_id, sources, sources AS source_order,
+  CASE WHEN paper_id % 11 = 0 THEN ' ' ELSE identifier_value END AS identifier_value, CASE WHEN paper_id % 13 = 0 THEN '10.1/same' ELSE doi END AS doi, CASE WHEN paper_id % 17 = 0 THEN ' ' ELSE canonical_source END AS canonical_source,
+  source_count + CASE WHEN paper_id % 19 = 0 THEN 1 ELSE 0 END AS source_count, CASE WHEN paper_id % 23 = 0 THEN 'failed' ELSE 'pending' END AS status, CASE WHEN paper_id % 31 = 0 THEN 2 ELSE 0 END AS attempts FROM merged),
+c AS (SELECT 'missing_identifier' AS "check", count(*) FILTER (trim(coalesce(identifier_value, '')) = '' OR identifier_type IS NULL) AS issue_count FROM f
+  UNION ALL SELECT 'inconsistent_identifier', count(*) FILTER (identifier_type = 'doi' AND doi IS DISTINCT FROM identifier_value OR identifier_type = 'arxiv_id' AND arxiv_id IS DISTINCT FROM identifier_value) FROM f
+  UNION ALL SELECT 'missing_canonical_source', count(*) FILTER (trim(coalesce(canonical_source, '')) = '') FROM f
+  UNION ALL SELECT 'wrong_source_count', count(*) FILTER (len(string_split(sources, ',')) <> source_count) FROM f
+  UNION ALL SELECT 'wrong_initial_status', count(*) FILTER (status <> 'pending' OR attempts <> 0) FROM f
+  UNION ALL SELECT 'order_not_canonical', count(*) FILTER (NOT starts_with(source_order, '["' || canonical_source || '"')) FROM f
+  UNION ALL SELECT 'duplicate_uid', count(*) FROM (SELECT paper_uid FROM f GROUP BY 1 HAVING count(*) > 1)
+  UNION ALL SELECT 'duplicate_identifier', count(*) FROM (SELECT identifier_type, identifier_value FROM f GROUP BY 1, 2 HAVING count(*) > 1)
+  UNION ALL SELECT 'duplicate_doi', count(*) FROM (SELECT doi FROM f WHERE doi IS NOT NULL GROUP BY 1 HAVING count(*) > 1))
+"""
+
+
+def faulty(df: DataFrame) -> DataFrame:
+    """A registry with faults at known papers, which the checks have to find."""
+    i = F.col("paper_id")
+    swapped = {"paper_uid": (29, F.lit("ID000000000")), "identifier_value": (11, F.lit(" ")), "doi": (13, F.lit("10.1/same")), "canonical_source": (17, F.lit(" ")), "source_count": (19, F.col("source_count") + 1), "download_status": (23, F.lit("failed")), "attempt_count": (31, F.lit(2))}
+    return df.withColumns({c: F.when(i % n == 0, x).otherwise(F.col(c)) for c, (n, x) in swapped.items()})
+
+
+@query(MERGED + FAULTY + 'SELECT "check", issue_count, issue_count = 0 AS passed FROM c')
 def quality_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.checks(registry.merged(papers(spark, sf_dir)))
+    return quality.checks(faulty(registry.merged(papers(spark, sf_dir))))
 
 
 @query("SELECT source, count(*) AS records, count(*) FILTER (title IS NOT NULL AND trim(title) <> '') AS with_title, count(DISTINCT lower(trim(identifier_value))) AS unique_values, count(*) FILTER (doi IS NULL) AS missing_doi, count(DISTINCT doi) AS unique_dois FROM papers GROUP BY source")

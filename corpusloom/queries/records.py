@@ -13,8 +13,8 @@ from ..functions import markup as M
 from ..functions import similarity as S
 from ..functions import text as T
 from ..functions import unicode as U
-from ..operators import joins
-from ..plans import enrichment, extraction, queue
+from ..operators import dml, joins
+from ..plans import enrichment, extraction, queue, statistics
 from .staging import papers, read, sql
 
 QUERIES: dict = {}
@@ -55,9 +55,15 @@ def normalize_title_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return papers(spark, sf_dir).select("staging_id", T.title_basic(F.col("title")).alias("title"))
 
 
-@query()
+@query(
+    "SELECT page_id, trim(regexp_replace(regexp_replace(replace(replace(replace(replace(lower(t), 'α', ' alpha '), 'β', ' beta '), 'σ', ' sigma '), 'φ', ' phi '), '[^\\p{L}\\p{N}_\\s]', ' ', 'g'), '\\s+', ' ', 'g')) AS title "
+    "FROM (SELECT page_id, 'Αβ-Poly &' || regexp_replace(regexp_extract(html, '(?is)<title>(.*?)</title>', 1), '&(amp|copy|quot|lt|gt);', ' ', 'g') || ' (σ/φ) ζ–1 2' AS t FROM pages)",
+    staged=False,
+)
 def normalize_title_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "pages").select("page_id", U.title_full(F.regexp_extract("html", r"(?is)<title>(.*?)</title>", 1)).alias("title"))
+    """Titles of pages among letters, entities and signs that the rule treats on its own."""
+    raw = F.concat(F.lit("Αβ-Poly &amp;"), F.regexp_extract("html", r"(?is)<title>(.*?)</title>", 1), F.lit(" <i>(σ/φ)</i> ζ–½"))
+    return read(spark, sf_dir, "pages").select("page_id", U.title_full(raw).alias("title"))
 
 
 @query("SELECT staging_id, regexp_replace(trim(regexp_replace(lower(coalesce(abstract, '')), '\\s+', ' ', 'g')), ' +([.,;:!?])', '\\1', 'g') AS abstract FROM papers", staged=True)
@@ -65,9 +71,9 @@ def tidy_abstracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return papers(spark, sf_dir).select("staging_id", T.tidy_abstract(F.col("abstract")).alias("abstract"))
 
 
-@query()
+@query("SELECT staging_id, regexp_replace(trim(regexp_replace(lower('fi 2 ' || coalesce(abstract, '')), '\\s+', ' ', 'g')), ' +([.,;:!?])', '\\1', 'g') AS abstract FROM papers", staged=True)
 def normalize_abstract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return papers(spark, sf_dir).select("staging_id", U.abstract_full(F.col("abstract")).alias("abstract"))
+    return papers(spark, sf_dir).select("staging_id", U.abstract_full(F.concat(F.lit("ﬁ ² "), F.coalesce(F.col("abstract"), F.lit("")))).alias("abstract"))
 
 
 @query("SELECT page_id, nullif(trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g')), '') AS text FROM pages")
@@ -75,7 +81,7 @@ def strip_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "pages").select("page_id", T.strip_markup(F.col("html")).alias("text"))
 
 
-@query()
+@query("SELECT page_id, nullif(trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\\s+', ' ', 'g')), '') AS text FROM pages", staged=False)
 def clean_abstracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "pages").select("page_id", U.clean_abstract(F.col("html")).alias("text"))
 
@@ -184,16 +190,25 @@ def request_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.matched(asked, given).select("doc_id", "lang", "outcome")
 
 
-@query()
+@query(
+    """WITH RECURSIVE m AS (SELECT CAST(floor(epoch(ts) / 60) AS BIGINT) AS m, count(*) AS n FROM events WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2025-01-01' GROUP BY 1),
+b(a, z, t) AS (SELECT CAST(epoch(TIMESTAMP '2024-01-01') // 60 AS BIGINT), CAST(epoch(TIMESTAMP '2025-01-01') // 60 AS BIGINT), (SELECT CAST(sum(n) AS BIGINT) FROM m)
+  UNION ALL SELECT s.a, s.z, (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM m WHERE m.m >= s.a AND m.m < s.z) FROM (SELECT unnest([{'a': a, 'z': (a + z) // 2}, {'a': (a + z) // 2, 'z': z}]) AS s FROM b WHERE t > 500 AND z - a > 1))
+SELECT strftime(make_timestamp(a * 60000000), '%Y-%m-%d %H:%M') AS low, strftime(make_timestamp(z * 60000000), '%Y-%m-%d %H:%M') AS high, t AS n FROM b WHERE t > 0 AND (t <= 500 OR z - a <= 1)""",
+    staged=False,
+)
 def date_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = enrichment.date_buckets(read(spark, sf_dir, "events"), "ts", 500, datetime(2024, 1, 1, tzinfo=UTC), datetime(2025, 1, 1, tzinfo=UTC))
-    return spark.createDataFrame(found, "start timestamp, end timestamp, n long")
+    return spark.createDataFrame([(f"{a:%Y-%m-%d %H:%M}", f"{b:%Y-%m-%d %H:%M}", n) for a, b, n in found], "low string, high string, n long")
 
 
 def body_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of different whole bodies under one first line (copies of a text are one)."""
-    rows = papers(spark, sf_dir).select("title", F.col("staging_id").alias("doc_id"), T.prepare(F.col("abstract")).alias("body")).where("trim(title) <> ''")
-    return joins.pairs_within(rows.groupBy("title", "body").agg(F.min("doc_id").alias("doc_id")), "title", "doc_id", "body")
+    """Of each first line that several papers share, the pairs of its different bodies; one row without a pair where all are the same."""
+    rows = papers(spark, sf_dir).select("title", F.col("staging_id").alias("doc_id"), U.abstract_full(F.col("abstract")).alias("body")).where("trim(title) <> ''")
+    kinds = rows.groupBy("title", "body").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
+    shared = kinds.groupBy("title").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).where("n > 1")
+    pairs = joins.pairs_within(kinds.select("title", "doc_id", "body"), "title", "doc_id", "body")
+    return pairs.unionByName(shared.where("kinds = 1").select("title"), allowMissingColumns=True)
 
 
 def title_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,8 +220,8 @@ def title_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def fuzzy_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of one title: least, mean and greatest similarity of their abstracts, and whether all pass."""
-    scored = body_pairs(spark, sf_dir).withColumn("score", S.ratio("body_1", "body_2"))
-    return scored.groupBy("title").agg(F.min("score").alias("least"), F.avg("score").alias("mean"), F.max("score").alias("greatest"), F.count("*").alias("pairs"), F.bool_and(F.col("score") >= 90).alias("passed"))
+    scored = body_pairs(spark, sf_dir).withColumn("score", F.when(F.col("body_1").isNull(), 100.0).otherwise(S.ratio("body_1", "body_2")))
+    return scored.groupBy("title").agg(F.min("score").alias("least"), F.avg("score").alias("mean"), F.max("score").alias("greatest"), F.count("body_1").alias("pairs"), F.bool_and(F.col("score") >= 90).alias("passed"))
 
 
 @query()
@@ -214,7 +229,8 @@ def fuzzy_pass_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups whose abstracts all agree; lengths alone decide most pairs that don't."""
     pairs = body_pairs(spark, sf_dir)
     near = F.when(S.can_reach(F.col("body_1"), F.col("body_2"), 90.0), F.col("body_1"))
-    groups = pairs.withColumn("score", F.coalesce(S.ratio(near, F.col("body_2")), F.lit(0.0))).groupBy("title").agg(F.bool_and(F.col("score") >= 90).alias("passed"))
+    score = F.when(F.col("body_1").isNull(), 100.0).otherwise(F.coalesce(S.ratio(near, F.col("body_2")), F.lit(0.0)))
+    groups = pairs.withColumn("score", score).groupBy("title").agg(F.bool_and(F.col("score") >= 90).alias("passed"))
     return groups.agg(F.count("*").alias("groups"), F.count_if("passed").alias("passed"), C.percent(F.count_if("passed"), F.count("*"), 1).alias("rate"))
 
 
@@ -229,7 +245,7 @@ def seqmatch_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return title_pairs(spark, sf_dir).select("doc_id_1", "doc_id_2", (S.sequence_ratio("title_1", "title_2") >= 0.9).alias("match"))
 
 
-@query()
+@query("SELECT page_id, '2101.' || CAST(page_id + 10000 AS VARCHAR) AS arxiv_id, CAST(2 AS INTEGER) AS version, trim(regexp_replace(url, '[&<]', '_', 'g')) AS title, 'A B' AS authors FROM pages", staged=False)
 def atom_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as the entries of Atom feeds, parsed again."""
     clean = F.regexp_replace("url", "[&<]", "_")
@@ -256,8 +272,60 @@ def extract_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.flattened(extraction.extracted(texts, client, "doc_id"), "doc_id").select("doc_id", "title", "sample_label")
 
 
-@query()
+@query(
+    """SELECT page_id, page_id % 4 = 1 AS pdf_ok, CASE page_id % 4 WHEN 0 THEN 'no PDF header' WHEN 2 THEN 'truncated' WHEN 3 THEN 'empty' END AS pdf_reason,
+  page_id % 4 = 1 AS xml_ok, CASE page_id % 4 WHEN 0 THEN 'malformed XML' WHEN 2 THEN 'no originalText' WHEN 3 THEN 'unexpected root article' END AS xml_reason,
+  page_id % 4 = 3 AS article_ok, CASE page_id % 4 WHEN 0 THEN 'malformed XML' WHEN 3 THEN NULL ELSE 'unexpected root full-text-retrieval-response' END AS article_reason,
+  page_id % 8 = 3 AS jats_ok, CASE page_id % 8 WHEN 0 THEN 'malformed XML' WHEN 4 THEN 'malformed XML' WHEN 3 THEN NULL WHEN 7 THEN 'DOI mismatch' ELSE 'unexpected root full-text-retrieval-response' END AS jats_reason FROM pages""",
+    staged=False,
+)
 def file_validators(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Verdicts on pages taken for files: none is a PDF or an article."""
-    rows = read(spark, sf_dir, "pages").select("page_id", "html", F.col("html").cast("binary").alias("data"))
-    return rows.select("page_id", M.valid_pdf("data").alias("pdf"), M.valid_fulltext("html").alias("xml"), M.valid_article("html", F.lit("PMC1")).alias("article"), M.valid_jats("html", F.lit("10.1/x")).alias("jats")).select("page_id", *(F.col(f"{c}.{f}").alias(f"{c}_{f}") for c in ("pdf", "xml", "article", "jats") for f in ("ok", "reason")))
+    """Verdicts on files of four kinds: the pages themselves, and texts that are whole, cut short or of another kind."""
+    i = F.col("page_id")
+    four = lambda *x: F.when(i % 4 == 0, x[0]).when(i % 4 == 1, x[1]).when(i % 4 == 2, x[2]).otherwise(x[3])
+    article = F.concat(F.lit('<article><front><article-meta><article-id pub-id-type="pmcid">PMC'), i.cast("string"), F.lit('</article-id><article-id pub-id-type="doi">10.1/X'), i.cast("string"), F.lit("</article-id></article-meta></front></article>"))
+    data = four(F.col("html"), F.lit("%PDF-1.4 /Type /Page %%EOF"), F.lit("%PDF-1.4 /Type /Page"), F.lit("")).cast("binary")
+    text = four(F.col("html"), F.lit("<full-text-retrieval-response><originalText>x</originalText></full-text-retrieval-response>"), F.lit("<full-text-retrieval-response/>"), article)
+    doi = F.concat(F.when(i % 8 == 3, "10.1/x").otherwise("10.1/other"), i.cast("string"))
+    rows = read(spark, sf_dir, "pages").select("page_id", data.alias("data"), text.alias("text"), F.concat(F.lit("pmc"), i.cast("string")).alias("pmcid"), doi.alias("doi"))
+    checked = rows.select("page_id", M.valid_pdf("data").alias("pdf"), M.valid_fulltext("text").alias("xml"), M.valid_article("text", "pmcid").alias("article"), M.valid_jats("text", "doi").alias("jats"))
+    return checked.select("page_id", *(F.col(f"{c}.{f}").alias(f"{c}_{f}") for c in ("pdf", "xml", "article", "jats") for f in ("ok", "reason")))
+
+
+@query("SELECT staging_id, abstract IS NOT NULL AND trim(abstract) <> '' AND abstract <> 'Not Found' AS has_abstract FROM (SELECT staging_id, CASE WHEN staging_id % 3 = 0 THEN 'Not Found' WHEN staging_id % 5 = 0 THEN NULL WHEN staging_id % 7 = 0 THEN '  ' ELSE title END AS abstract FROM papers WHERE trim(title) <> '')", staged=True)
+def has_abstract_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("staging_id")
+    given = F.when(i % 3 == 0, "Not Found").when(i % 5 == 0, None).when(i % 7 == 0, "  ").otherwise(F.col("title"))
+    return papers(spark, sf_dir).where("trim(title) <> ''").select("staging_id", T.has_abstract(given).alias("has_abstract"))
+
+
+@query("SELECT 'before' AS moment, count(*) FILTER (event_type = 'error') AS count FROM events UNION ALL SELECT 'after', 0", staged=False)
+def retry_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return queue.retry_counts(read(spark, sf_dir, "events").select(F.col("event_type").alias("status")), "status", "error")
+
+
+@query("SELECT page_id, 'https://x.org/' || replace(replace(replace(replace(replace(replace(replace(replace(url, '%', '%25'), ':', '%3A'), '?', '%3F'), '=', '%3D'), '&', '%26'), ' ', '%20'), '#', '%23'), '+', '%2B') AS encoded FROM pages", staged=False)
+def percent_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("https://x.org/"), T.percent_encoded(F.col("url"))).alias("encoded"))
+
+
+@query("SELECT DISTINCT source, lang, CASE WHEN lang = 'fr' THEN 'PUBLISHER(' || source || ')' WHEN lang = 'es' THEN 'TITLE-ABS-KEY(' || lang || ')' ELSE 'PUBLISHER(' || source || ') AND TITLE-ABS-KEY(' || lang || ')' END AS query FROM documents", staged=False)
+def publisher_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "documents").select("source", "lang").distinct()
+    return rows.withColumn("query", T.publisher_query(F.when(F.col("lang") != "fr", F.col("lang")), F.when(F.col("lang") != "es", F.col("source"))))
+
+
+@query(
+    "SELECT identifier_key, count(*) AS row_count, count(DISTINCT title) AS title_count, count(DISTINCT n) AS normalised_count, array_to_string(list_sort(list(DISTINCT title) FILTER (title IS NOT NULL)), '|') AS titles, "
+    "coalesce(array_to_string(list_sort(list(DISTINCT n) FILTER (n IS NOT NULL)), '|'), '') AS normalised FROM (SELECT *, nullif(trim(regexp_replace(regexp_replace(lower(title), '[^\\p{L}\\p{N}_\\s]', ' ', 'g'), '\\s+', ' ', 'g')), '') AS n FROM papers) GROUP BY 1",
+    staged=True,
+)
+def title_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return statistics.title_lists(papers(spark, sf_dir), "identifier_key")
+
+
+@query("SELECT CAST(count(DISTINCT k) FILTER (k IS NOT NULL AND k >= 20) AS BIGINT) AS inserted, CAST(count(k) - count(DISTINCT k) FILTER (k >= 20) AS BIGINT) AS ignored, CAST(count(*) - count(k) AS BIGINT) AS skipped FROM (SELECT CASE WHEN doc_id % 9 = 0 THEN NULL ELSE doc_id // 2 END AS k FROM documents)", staged=False)
+def insert_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of documents that share keys, have none, or have one that the table holds: how many INSERT OR IGNORE takes."""
+    new = read(spark, sf_dir, "documents").select(F.when(F.col("doc_id") % 9 != 0, F.floor(F.col("doc_id") / 2)).alias("k"))
+    return dml.insert_counts(spark.range(20).select(F.col("id").alias("k")), new, ["k"])

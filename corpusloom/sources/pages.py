@@ -46,6 +46,50 @@ class CursorReader(DataSourceReader):
             cursor, page = after, page + 1
 
 
+class ResumableReader(DataSourceReader):
+    """Pages of each query from its own cursor on; a failure is a row, so that what came before it is kept."""
+
+    def __init__(self, options: dict):
+        self.fetch, self.resume = options["fetch"], json.loads(options["resume"])
+        self.most = int(options.get("maxPages", 0))
+
+    def partitions(self) -> list[Query]:
+        return [Query(q) for q in self.resume] or [Query("")]
+
+    def read(self, partition: Query) -> Iterator[tuple]:
+        if not partition.text:
+            return
+        module, _, name = self.fetch.partition(":")
+        fetch = getattr(importlib.import_module(module), name)
+        cursor, page = self.resume[partition.text], 0
+        while not self.most or page < self.most:
+            try:
+                records, after = fetch(partition.text, cursor)
+            except Exception as e:
+                yield partition.text, page, cursor, cursor, False, None, f"{type(e).__name__}: {e}"
+                return
+            finished = not records or not after or after == cursor
+            for r in records or [None]:
+                yield partition.text, page, cursor, after, finished, r, None
+            if finished:
+                return
+            cursor, page = after, page + 1
+
+
+class ResumablePages(DataSource):
+    """`spark.read.format("resumablepages")` with options fetch, resume (JSON of query to cursor) and maxPages."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "resumablepages"
+
+    def schema(self) -> str:
+        return "query string, page int, cursor string, next string, finished boolean, record string, error string"
+
+    def reader(self, schema) -> ResumableReader:
+        return ResumableReader(self.options)
+
+
 class CursorPages(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -55,4 +99,4 @@ class CursorPages(DataSource):
         return "query string, page int, cursor string, record string"
 
     def reader(self, schema) -> CursorReader:
-        return CursorReader(dict(self.options))
+        return CursorReader(self.options)

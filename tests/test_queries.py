@@ -2,6 +2,8 @@
 
 import datetime
 import os
+import re
+import unicodedata
 
 import duckdb
 import pytest
@@ -36,6 +38,44 @@ def test_equals_sql(spark, duck, name):
     assert got == want
 
 
+def lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = 0
+        for j, y in enumerate(b):
+            row[j + 1], last = (last + 1 if x == y else max(row[j + 1], row[j])), row[j + 1]
+    return row[-1]
+
+
+def indel(a, b):
+    return 200 * lcs(a, b) / (len(a) + len(b)) if a or b else 100.0
+
+
+def bodies(duck):
+    """Different normalised bodies of each first line that several documents share."""
+    groups = {}
+    for i, text in duck.execute("SELECT doc_id, text FROM documents ORDER BY doc_id").fetchall():
+        title, _, body = (text or "").partition("\n")
+        if title.strip():
+            body = re.sub(r"\s+([.,;:!?])", r"\1", re.sub(r"\s+", " ", unicodedata.normalize("NFKC", body).lower().strip()))
+            groups.setdefault(title, []).append(body)
+    return {t: list(dict.fromkeys(b)) for t, b in groups.items() if len(b) > 1}
+
+
+def test_fuzzy_groups(spark, duck):
+    want = {}
+    for title, kinds in bodies(duck).items():
+        scores = [indel(a, b) for i, a in enumerate(kinds) for b in kinds[i + 1 :]]
+        want[title] = (min(scores, default=100), max(scores, default=100), len(scores), all(s >= 90 for s in scores))
+    got = {r.title: (r.least, r.greatest, r.pairs, r.passed) for r in QUERIES["fuzzy_pairs"](spark, DATA).collect()}
+    assert got.keys() == want.keys() and any(x[2] == 0 for x in want.values())
+    for t, w in want.items():
+        assert got[t] == (pytest.approx(w[0]), pytest.approx(w[1]), *w[2:])
+    rate = QUERIES["fuzzy_pass_rate"](spark, DATA).first()
+    assert (rate.groups, rate.passed) == (len(want), sum(x[3] for x in want.values()))
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_runs(spark, name):
-    assert QUERIES[name](spark, DATA).columns
+    df = QUERIES[name](spark, DATA)
+    assert all(len(r) == len(df.columns) for r in df.collect())
