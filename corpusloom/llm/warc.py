@@ -1,8 +1,8 @@
-"""WARC archives: written with Spark's text writer, read by a PySpark Python data source.
+"""WARC archives: a PySpark Python data source that writes and reads them.
 
-Writing stays in the JVM and on any store Spark writes to: the separator between lines of text is the blank that ends a
-record, so a file of the text writer is an archive. The data source plans partitions from the files' sizes, takes over
-predicates on headers, reads the headers of a record first, and passes over the block of a record that is not wanted.
+Each record is a gzip member of its own, whose header tells its length (the extra field `sl` of the WARC standard's annex on compression). So the reader
+inflates the headers of a record first, and passes over the rest of the member without decoding it, if predicates on headers or the columns asked for
+don't want the payload. The source plans partitions from the files' sizes. Archives that were compressed as a whole, or not at all, are read too.
 """
 
 from __future__ import annotations
@@ -11,6 +11,9 @@ import gzip
 import hashlib
 import io
 import operator
+import struct
+import uuid
+import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -20,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource,
+    DataSourceArrowWriter,
     DataSourceReader,
     EqualNullSafe,
     EqualTo,
@@ -35,9 +39,10 @@ from pyspark.sql.datasource import (
     StringContains,
     StringEndsWith,
     StringStartsWith,
+    WriterCommitMessage,
 )
 
-from .common import shared_dir
+from .common import shared_dir, small_batches
 
 #: Payloads from this size on are written once.
 LEAST_REVISIT = 100
@@ -98,9 +103,76 @@ def warc_records(pages: DataFrame, least: int = LEAST_REVISIT, date: str = DATE)
     return told.select(F.concat(*lines).alias("record"))
 
 
-def write_warc(pages: DataFrame, path: str, *, least: int = LEAST_REVISIT, date: str = DATE, compression: str = "gzip", records_per_file: int = 20_000) -> None:
-    """Write the records of `pages` as archives under `path`; no rows leave an empty folder."""
-    warc_records(pages, least, date).write.option("lineSep", CRLF * 2).option("compression", compression).option("maxRecordsPerFile", records_per_file).text(path)
+def write_warc(pages: DataFrame, path: str, *, least: int = LEAST_REVISIT, date: str = DATE, compression: str = "gzip", file_bytes: int = PARTITION_BYTES) -> None:
+    """Write the records of `pages` as archives under `path`, each begun by a warcinfo record; no rows leave an empty folder.
+
+    Tasks write under names of their own, and the driver moves what committed tasks wrote, so a task that is lost or repeated leaves nothing.
+    """
+    spark = pages.sparkSession
+    small_batches(spark)
+    spark.dataSource.register(WarcSource)
+    made = warc_records(pages, least, date)
+    made.write.format("warc").mode("append").option("compression", compression).option("fileBytes", str(file_bytes)).option("date", date).option("path", path).save()
+
+
+def member(record: bytes, level: int = 6) -> bytes:
+    """A gzip member with its lengths, packed and plain, in the extra field."""
+    deflate = zlib.compressobj(level, zlib.DEFLATED, -15)
+    body = deflate.compress(record) + deflate.flush()
+    size = 24 + len(body) + 8
+    head = struct.pack("<4BIBBH2sHII", 0x1F, 0x8B, 8, 4, 0, 0, 255, 12, b"sl", 8, size & 0xFFFFFFFF, len(record) & 0xFFFFFFFF)
+    return head + body + struct.pack("<II", zlib.crc32(record), len(record) & 0xFFFFFFFF)
+
+
+def info(date: str) -> bytes:
+    body = "software: corpusloom\r\nformat: WARC File Format 1.1\r\n"
+    return f"WARC/1.1{CRLF}WARC-Type: warcinfo{CRLF}WARC-Record-ID: {uuid.uuid4().urn.join('<>')}{CRLF}WARC-Date: {date}{CRLF}Content-Type: application/warc-fields{CRLF}Content-Length: {len(body)}{CRLF * 2}{body}{CRLF * 2}".encode()
+
+
+@dataclass
+class Written(WriterCommitMessage):
+    names: tuple[str, ...]
+
+
+class WarcWriter(DataSourceArrowWriter):
+    def __init__(self, options):
+        self.path, self.packed = options["path"], options.get("compression", "gzip") == "gzip"
+        self.most, self.date = int(options.get("fileBytes", PARTITION_BYTES)), options.get("date", DATE)
+
+    def at(self, name: str) -> tuple[pyarrow.fs.FileSystem, str]:
+        store, top = pyarrow.fs.FileSystem.from_uri(self.path)
+        return store, f"{top}/{name}" if name else top
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
+        pack = member if self.packed else bytes
+        names: list[str] = []
+        out, size = None, 0
+        for batch in iterator:
+            for record in batch.column(0).to_pylist():
+                if out is None or size >= self.most:
+                    if out:
+                        out.close()
+                    names.append(f"{uuid.uuid4().hex}.warc{'.gz' if self.packed else ''}")
+                    store, name = self.at(f"_writing/{names[-1]}")
+                    store.create_dir(self.at("_writing")[1], recursive=True)
+                    out = store.open_output_stream(name, compression=None)
+                    size = out.write(pack(info(self.date)))
+                size += out.write(pack(f"{record}{CRLF * 2}".encode()))
+        if out:
+            out.close()
+        return Written(tuple(names))
+
+    def commit(self, messages: list[Written | None]) -> None:
+        store, top = self.at("")
+        store.create_dir(top, recursive=True)
+        for name in (n for m in messages if m for n in m.names):
+            store.move(f"{top}/_writing/{name}", f"{top}/{name}")
+        self.abort(messages)
+
+    def abort(self, messages: list[Written | None]) -> None:
+        store, unfinished = self.at("_writing")
+        if store.get_file_info(unfinished).type == pyarrow.fs.FileType.Directory:
+            store.delete_dir(unfinished)
 
 
 @dataclass
@@ -159,13 +231,13 @@ class WarcReader(DataSourceReader):
         rows: list[dict] = []
         for uri, name in partition.names:
             store, _ = pyarrow.fs.FileSystem.from_uri(uri)
-            with store.open_input_file(name) as raw:
-                with gzip.GzipFile(fileobj=raw) if name.endswith(".gz") else io.BufferedReader(raw, 1 << 20) as stream:
-                    for row in records(stream, self.wanted, self.payload):
-                        rows.append(row | {"file": name})
-                        if len(rows) >= BATCH:
-                            yield pa.RecordBatch.from_pylist(rows, ARROW)
-                            rows = []
+            with store.open_input_file(name) as raw, io.BufferedReader(raw, 1 << 20) as stream:
+                found = members(stream, self.wanted, self.payload) if name.endswith(".gz") else records(stream, self.wanted, self.payload)
+                for row in found:
+                    rows.append(row | {"file": name})
+                    if len(rows) >= BATCH:
+                        yield pa.RecordBatch.from_pylist(rows, ARROW)
+                        rows = []
         if rows:
             yield pa.RecordBatch.from_pylist(rows, ARROW)
 
@@ -178,39 +250,104 @@ def _skip(stream, n: int) -> None:
             n -= got
 
 
+class Unpacked:
+    """A gzip member as a stream that inflates no more than is read."""
+
+    def __init__(self, packed, size: int):
+        self.packed, self.left, self.held = packed, size, b""
+        self.inflate = zlib.decompressobj(-15)
+
+    def fill(self) -> bool:
+        raw = self.inflate.unconsumed_tail
+        if not raw and self.left:
+            raw = self.packed.read(min(self.left, 1 << 14))
+            self.left -= len(raw)
+        more = self.inflate.decompress(raw, 1 << 14) if raw else b""
+        self.held += more
+        return bool(raw)
+
+    def seekable(self) -> bool:
+        return True
+
+    def seek(self, n: int, whence: int) -> None:
+        """What is passed over is not inflated: the next member begins behind the packed bytes."""
+
+    def readline(self) -> bytes:
+        while (end := self.held.find(b"\n")) < 0 and self.fill():
+            pass
+        end = len(self.held) if end < 0 else end + 1
+        line, self.held = self.held[:end], self.held[end:]
+        return line
+
+    def read(self, n: int) -> bytes:
+        parts, size = [self.held], len(self.held)
+        self.held = b""
+        while size < n and self.fill():
+            parts.append(self.held)
+            size += len(self.held)
+            self.held = b""
+        got = b"".join(parts)
+        self.held = got[n:]
+        return got[:n]
+
+
+def members(stream, wanted: Callable[[dict], bool], payload: str) -> Iterator[dict]:
+    """Records of a packed archive. A member without its length, or one of several records, is inflated with all that follows it."""
+    while head := stream.read(24):
+        fields = struct.unpack("<4BIBBH2sHII", head) if len(head) == 24 else None
+        if not fields or fields[:4] != (0x1F, 0x8B, 8, 4) or fields[7:10] != (12, b"sl", 8):
+            stream.seek(-len(head), io.SEEK_CUR)
+            yield from records(gzip.GzipFile(fileobj=stream), wanted, payload)
+            return
+        begin = stream.tell()
+        body = Unpacked(stream, fields[10] - 32)
+        row = record(body, wanted, payload)
+        stream.seek(begin + fields[10] - 24)
+        if row:
+            yield row
+
+
 def records(stream, wanted: Callable[[dict], bool], payload: str) -> Iterator[dict]:
-    """Records of one archive: headers first; the block is read only if the record is wanted and its payload asked for."""
-    while line := stream.readline():
-        if not line.strip():
-            continue
-        if not line.startswith(b"WARC/"):
-            raise ValueError(f"no WARC record begins with {line[:40]!r}")
-        found: dict[str, str] = {}
-        while (line := stream.readline()).strip():
-            key, _, value = line.decode("utf-8", "replace").partition(":")
-            found[key.strip().lower()] = value.strip()
-        row: dict = {k: (kind(found[h]) if h in found else None) for k, (h, kind) in HEADERS.items()}
-        row |= {"payload": None, "read_bytes": None, "read_digest": None}
-        size = row["content_length"] or 0
-        if not wanted(row):
-            _skip(stream, size)
-            continue
-        if payload == "none" or row["warc_type"] == "revisit":
-            _skip(stream, size)
-        else:
-            block = stream.read(size)
-            if len(block) < size:
-                raise ValueError("the archive ends inside a record")
-            body = block.partition(b"\r\n\r\n")[2] if (row["content_type"] or "").startswith("application/http") else block
-            row["read_bytes"] = len(body)
-            row["read_digest"] = hashlib.sha256(body).hexdigest()
-            if payload == "text":
-                row["payload"] = body.decode("utf-8", "replace")
-        yield row
+    """Records that stand one after another."""
+    while (row := record(stream, wanted, payload)) is not None:
+        if row:
+            yield row
+
+
+def record(stream, wanted: Callable[[dict], bool], payload: str) -> dict | None:
+    """The next record: headers first; the block is read only if the record is wanted and its payload asked for. Empty if it isn't wanted, none at the end."""
+    while (line := stream.readline()) and not line.strip():
+        pass
+    if not line:
+        return None
+    if not line.startswith(b"WARC/"):
+        raise ValueError(f"no WARC record begins with {line[:40]!r}")
+    found: dict[str, str] = {}
+    while (line := stream.readline()).strip():
+        key, _, value = line.decode("utf-8", "replace").partition(":")
+        found[key.strip().lower()] = value.strip()
+    row: dict = {k: (kind(found[h]) if h in found else None) for k, (h, kind) in HEADERS.items()}
+    row |= {"payload": None, "read_bytes": None, "read_digest": None}
+    size = row["content_length"] or 0
+    if not wanted(row):
+        _skip(stream, size)
+        return {}
+    if payload == "none" or row["warc_type"] == "revisit":
+        _skip(stream, size)
+        return row
+    block = stream.read(size)
+    if len(block) < size:
+        raise ValueError("the archive ends inside a record")
+    body = block.partition(b"\r\n\r\n")[2] if (row["content_type"] or "").startswith("application/http") else block
+    row["read_bytes"] = len(body)
+    row["read_digest"] = hashlib.sha256(body).hexdigest()
+    if payload == "text":
+        row["payload"] = body.decode("utf-8", "replace")
+    return row
 
 
 class WarcSource(DataSource):
-    """`spark.read.format("warc").load(folder)`; options: payload (text, digest or none), partitionBytes."""
+    """`spark.read.format("warc").load(folder)`; options: payload (text, digest or none), partitionBytes; to write: compression (gzip or none), fileBytes, date."""
 
     @classmethod
     def name(cls) -> str:
@@ -220,7 +357,12 @@ class WarcSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> WarcReader:
-        return WarcReader(dict(self.options))
+        return WarcReader(self.options)
+
+    def writer(self, schema, overwrite: bool) -> WarcWriter:
+        if overwrite:
+            raise ValueError("archives are appended; choose another folder")
+        return WarcWriter(self.options)
 
 
 def read_warc(spark: SparkSession, path: str, payload: str = "text") -> DataFrame:
@@ -231,13 +373,19 @@ def read_warc(spark: SparkSession, path: str, payload: str = "text") -> DataFram
 
 
 def archive_digests(spark: SparkSession, path: str) -> DataFrame:
-    """Per record: size and digest of the full payload, its type, and the page that it refers to.
+    """Per response and revisit: size and digest of the full payload, the record's type, and the page that it refers to. One pass; other records are passed over.
 
     Of responses they are computed from the payload that is read back, of revisits they are those of the headers.
     """
-    response = read_warc(spark, path, "digest").where("warc_type = 'response'").select("page_id", F.col("read_bytes").alias("payload_bytes"), F.col("read_digest").alias("payload_digest"), F.col("warc_type").alias("record_type"), F.lit(None).cast("long").alias("refers_to"))
-    revisit = read_warc(spark, path, "none").where("warc_type = 'revisit'").select("page_id", F.col("payload_length").alias("payload_bytes"), F.regexp_replace("payload_digest", "^sha256:", "").alias("payload_digest"), F.col("warc_type").alias("record_type"), F.col("refers_to_page").alias("refers_to"))
-    return response.union(revisit)
+    found = read_warc(spark, path, "digest").where(F.col("warc_type").isin("response", "revisit"))
+    again = F.col("warc_type") == "revisit"
+    return found.select(
+        "page_id",
+        F.when(again, F.col("payload_length")).otherwise(F.col("read_bytes")).alias("payload_bytes"),
+        F.when(again, F.regexp_replace("payload_digest", "^sha256:", "")).otherwise(F.col("read_digest")).alias("payload_digest"),
+        F.col("warc_type").alias("record_type"),
+        F.when(again, F.col("refers_to_page")).alias("refers_to"),
+    )
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
