@@ -68,6 +68,7 @@ class Model:
     def score(self, text: str) -> tuple[float, list[tuple[int, int, float]]]:
         """Probability of the document, and begin, end and probability of each sentence that is likelier than not."""
         left, worst, z, begin, some = 0.0, [], self.bias, None, False
+        base = softplus(z) if z < 0 else 0.0  # what a sentence without a telling word has, so that any number of them stays harmless
         word = self.word
         lower = text.lower()
         offsets_hold = len(lower) == len(text)
@@ -76,7 +77,7 @@ class Model:
             token = m[0]
             if token[0] in STOPS:
                 if some:
-                    left += softplus(z)
+                    left += softplus(z) - base
                     if z >= 0:
                         worst.append((begin, m.end(), 1 / (1 + math.exp(-z))))
                     z, some = self.bias, False
@@ -86,7 +87,7 @@ class Model:
             z += word(token)
             end = m.end()
         if some:
-            left += softplus(z)
+            left += softplus(z) - base
             if z >= 0:
                 worst.append((begin, end, 1 / (1 + math.exp(-z))))
         if not offsets_hold:

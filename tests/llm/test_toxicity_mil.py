@@ -44,3 +44,16 @@ def test_one_class_nulls_repeats_and_nothing(spark):
     assert train(docs, labels.limit(0)).weights.sum() == 0
     assert toxicity(docs.limit(0), Model(np.zeros(1 << 18), -7.0)).count() == 0
     assert sentences("A b! c\n. D") == [["a", "b"], ["c"], ["d"]]
+
+
+def test_clashing_columns_ties_and_very_long_texts(spark):
+    long = "wort eins. " * 150_000
+    docs = spark.createDataFrame([(i, "vile wort. gut" if i % 3 == 0 else "wort gut. eins", 1, 2, 3) for i in range(60)] + [(90, long, 1, 2, 3), (91, long + "vile.", 1, 2, 3)], "doc_id long, text string, _id int, _toxic int, _h int")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0), "x") for i in range(60)] + [(90, 0, "x")], "doc_id long, toxic int, _id string")
+    m = train(docs, labels)
+    got = {r.doc_id: r.predicted for r in toxicity(docs, m).collect()}
+    assert got == {**{i: int(i % 3 == 0) for i in range(60)}, 90: 0, 91: 1}
+    few = train(docs, labels, sample_bytes=200)  # the long text is no part of it
+    assert few.score("wort vile")[0] > few.score("wort gut")[0]
+    level = Model(np.zeros(1 << 18), 0.0)  # one sentence at even odds
+    assert [(r.score, r.predicted) for r in toxicity(docs.where("doc_id = 60 or doc_id = 1").limit(1), level).collect()] == [(0.75, 1)]
