@@ -47,8 +47,8 @@ def test_one_class_nulls_repeats_and_nothing(spark):
 
 
 def test_clashing_columns_ties_and_very_long_texts(spark):
-    long = "wort eins. " * 150_000
-    docs = spark.createDataFrame([(i, "vile wort. gut" if i % 3 == 0 else "wort gut. eins", 1, 2, 3) for i in range(60)] + [(90, long, 1, 2, 3), (91, long + "vile.", 1, 2, 3)], "doc_id long, text string, _id int, _toxic int, _h int")
+    long = "other text. " * 150_000
+    docs = spark.createDataFrame([(i, "vile wort. gut" if i % 3 == 0 else "wort gut. eins", 1, 2, 3) for i in range(60)] + [(90, long, 1, 2, 3), (91, long + "vile wort.", 1, 2, 3)], "doc_id long, text string, _id int, _toxic int, _h int")
     labels = spark.createDataFrame([(i, int(i % 3 == 0), "x") for i in range(60)] + [(90, 0, "x")], "doc_id long, toxic int, _id string")
     m = train(docs, labels)
     got = {r.doc_id: r.predicted for r in toxicity(docs, m).collect()}
