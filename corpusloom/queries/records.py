@@ -13,7 +13,7 @@ from ..functions import markup as M
 from ..functions import similarity as S
 from ..functions import text as T
 from ..functions import unicode as U
-from ..operators import dml, joins
+from ..operators import agreement, dml, joins
 from ..plans import enrichment, extraction, queue, statistics
 from .staging import papers, read, sql
 
@@ -202,13 +202,11 @@ def date_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(f"{a:%Y-%m-%d %H:%M}", f"{b:%Y-%m-%d %H:%M}", n) for a, b, n in found], "low string, high string, n long")
 
 
-def body_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of each first line that several papers share, the pairs of its different bodies; one row without a pair where all are the same."""
-    rows = papers(spark, sf_dir).select("title", F.col("staging_id").alias("doc_id"), U.abstract_full(F.col("abstract")).alias("body")).where("trim(title) <> ''")
-    kinds = rows.groupBy("title", "body").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
-    shared = kinds.groupBy("title").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).where("n > 1")
-    pairs = joins.pairs_within(kinds.select("title", "doc_id", "body"), "title", "doc_id", "body")
-    return pairs.unionByName(shared.where("kinds = 1").select("title"), allowMissingColumns=True)
+def shared_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bodies of each first line that several papers share."""
+    rows = papers(spark, sf_dir).select("title", U.abstract_full(F.col("abstract")).alias("body")).where("trim(title) <> ''")
+    kinds = rows.groupBy("title", "body").agg(F.count("*").alias("n"))
+    return kinds.join(kinds.groupBy("title").agg(F.sum("n").alias("n")).where("n > 1").select("title"), "title", "left_semi").select("title", "body")
 
 
 def title_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,17 +218,13 @@ def title_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def fuzzy_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of one title: least, mean and greatest similarity of their abstracts, and whether all pass."""
-    scored = body_pairs(spark, sf_dir).withColumn("score", F.when(F.col("body_1").isNull(), 100.0).otherwise(S.ratio("body_1", "body_2")))
-    return scored.groupBy("title").agg(F.min("score").alias("least"), F.avg("score").alias("mean"), F.max("score").alias("greatest"), F.count("body_1").alias("pairs"), F.bool_and(F.col("score") >= 90).alias("passed"))
+    return agreement.pair_scores(shared_bodies(spark, sf_dir), "title", "body")
 
 
 @query()
 def fuzzy_pass_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Groups whose abstracts all agree; lengths alone decide most pairs that don't."""
-    pairs = body_pairs(spark, sf_dir)
-    near = F.when(S.can_reach(F.col("body_1"), F.col("body_2"), 90.0), F.col("body_1"))
-    score = F.when(F.col("body_1").isNull(), 100.0).otherwise(F.coalesce(S.ratio(near, F.col("body_2")), F.lit(0.0)))
-    groups = pairs.withColumn("score", score).groupBy("title").agg(F.bool_and(F.col("score") >= 90).alias("passed"))
+    """Groups whose abstracts all agree."""
+    groups = agreement.all_agree(shared_bodies(spark, sf_dir), "title", "body")
     return groups.agg(F.count("*").alias("groups"), F.count_if("passed").alias("passed"), C.percent(F.count_if("passed"), F.count("*"), 1).alias("rate"))
 
 

@@ -1,6 +1,7 @@
 """Every query with SQL against DuckDB, on the smallest tables."""
 
 import datetime
+import difflib
 import os
 import re
 import unicodedata
@@ -8,6 +9,7 @@ import unicodedata
 import duckdb
 import pytest
 
+from corpusloom.functions import similarity as S
 from corpusloom.queries import ORACLES, QUERIES
 
 DATA = "/root/testdata/sf0.001"
@@ -75,6 +77,38 @@ def test_fuzzy_groups(spark, duck):
     assert (rate.groups, rate.passed) == (len(want), sum(x[3] for x in want.values()))
 
 
+def windows(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if not a:
+        return 100.0 if not b else 0.0
+    return max(S.indel(a, b[max(0, i) : i + len(a)]) for i in range(1 - len(a), len(b)))
+
+
+def test_title_pairs(spark, duck):
+    """Different first lines over one body, each pair against plain Python."""
+    over = {}
+    for i, text in duck.execute("SELECT doc_id, text FROM documents ORDER BY doc_id").fetchall():
+        title, _, body = (text or "").partition("\n")
+        title = " ".join(re.sub(r"[^\w\s]", " ", title.lower()).split()) or None
+        if body.strip(" "):
+            over.setdefault(body, {}).setdefault(title, i)
+    want, match = {}, {}
+    for titles in over.values():
+        known = sorted((i, t) for t, i in titles.items())
+        for k, (i, a) in enumerate(known):
+            for j, b in known[k + 1 :]:
+                none = a is None or b is None
+                partial = None if none else windows(a, b)
+                want[i, j] = (not none and (S.indel(a, b) >= 90 or partial >= 90), partial)
+                match[i, j] = None if none else difflib.SequenceMatcher(None, a, b).ratio() >= 0.9
+    got = {(r.doc_id_1, r.doc_id_2): (r.agree, r.partial) for r in QUERIES["title_partial"](spark, DATA).collect()}
+    assert want and got.keys() == want.keys()
+    for k, (agree, partial) in want.items():
+        assert got[k] == (agree, partial if partial is None else pytest.approx(partial))
+    assert {(r.doc_id_1, r.doc_id_2): r.match for r in QUERIES["seqmatch_pairs"](spark, DATA).collect()} == match
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_runs(spark, name):
     df = QUERIES[name](spark, DATA)
