@@ -13,6 +13,15 @@ def with_abstracts(papers: DataFrame, abstracts: DataFrame, key: str = "corpusid
     return papers.join(abstracts, key)
 
 
+def bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str) -> DataFrame:
+    """`df` as a table of the catalog, dealt out and sorted by its key once. Joins and groups by the key of tables with equally many buckets move no rows.
+
+    `name` must be free. A task writes a bucket, and adaptive execution can't split a bucket that is joined, so the key should be an id.
+    """
+    df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).mode("errorifexists").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def among(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows whose key is among the ids; repeated rows stay."""
     return rows.join(ids.select(key).distinct(), key, "left_semi")
