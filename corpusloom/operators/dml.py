@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.text import is_missing
 from .dedup import keep_first
-from .filters import required
 
 
 def insert_ignore(old: DataFrame, new: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
@@ -67,11 +66,16 @@ def delete_keys(df: DataFrame, gone: DataFrame, keys: Sequence[str]) -> DataFram
 
 
 def cleaned_copy(df: DataFrame, columns: Sequence[str], needed: Sequence[str], path: str, overwrite: bool = False) -> dict[str, int]:
-    """Write `columns` of the rows that have all `needed`; how many were accepted and rejected, from one pass over the input each."""
+    """Write `columns` of the rows that have all `needed`, and how many were accepted and rejected: one pass, which counts what it writes."""
     if absent := [c for c in (*columns, *needed) if c not in df.columns]:
         raise ValueError(f"no such columns: {absent}")
-    required(df, needed).select(*columns).write.mode("overwrite" if overwrite else "errorifexists").parquet(path)
-    total, kept = df.count(), df.sparkSession.read.parquet(path).count()
+    whole = F.lit(True)
+    for c in needed:
+        whole = whole & ~is_missing(F.col(c))
+    seen = Observation()
+    counted = df.withColumn("_whole", whole).observe(seen, F.count("*").alias("total"), F.count_if("_whole").alias("accepted"))
+    counted.where("_whole").select(*columns).write.mode("overwrite" if overwrite else "errorifexists").parquet(path)
+    total, kept = seen.get["total"], seen.get["accepted"]
     return {"total": total, "accepted": kept, "rejected": total - kept}
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -44,24 +45,39 @@ def enriched(papers: DataFrame, crossref: DataFrame, openalex: DataFrame) -> Dat
     return base.withColumns(out).withColumn("doi_tested", F.lit(1)).drop("_doi", "_c", "_o", *(f"_{s}_{f}" for s in "co" for f in ("abstract", "authors", "affiliations")))
 
 
-def date_buckets(stamps: DataFrame, column: str, most: int, start: datetime, end: datetime, least_minutes: int = 1) -> list[tuple[datetime, datetime, int]]:
-    """Windows [start, end) with at most `most` rows each, halved again and again where there are more; empty ones are left out.
+def halved(span: tuple[int, int], least: int, minute: Column) -> Column:
+    """The windows [a, z) that hold a minute when a span is halved down to `least` minutes, the span itself first."""
+    depth = max(1, math.ceil(math.log2(max(2, span[1] - span[0]))) + 1)
+    window = lambda a, z: F.struct(a.cast("long").alias("a"), z.cast("long").alias("z"))
+
+    def halve(path: Column, _: Column) -> Column:
+        last = F.element_at(path, -1)
+        middle = F.floor((last["a"] + last["z"]) / 2)
+        half = F.when(minute < middle, window(last["a"], middle)).otherwise(window(middle, last["z"]))
+        return F.when(last["z"] - last["a"] <= least, path).otherwise(F.array_append(path, half))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.array(window(F.lit(span[0]), F.lit(span[1]))), halve)
+
 
-    One pass counts minutes; the halving works on at most one number a minute of the span, not on rows.
+def bucket_windows(stamps: DataFrame, column: str, most: int, start: datetime, end: datetime, least_minutes: int = 1) -> DataFrame:
+    """low, high, n: windows [low, high) with at most `most` rows each, halved again and again where there are more; empty ones are left out.
+
+    A roll-up tree: minutes are counted, every count is added to all windows of its path, and a window is cut where its own count fits but that of the window above doesn't.
+    Rows are read once and meet as minutes, and nothing is decided on the driver. Rows outside of [start, end) and without a time don't count.
     """
+    span = int(start.timestamp() // 60), int(-(-end.timestamp() // 60))
     minutes = stamps.where((F.col(column) >= F.lit(start)) & (F.col(column) < F.lit(end))).groupBy(F.floor(F.unix_timestamp(column) / 60).alias("m")).agg(F.count("*").alias("n"))
-    counts = sorted((r["m"], r["n"]) for r in minutes.collect())
-    epoch = int(start.timestamp() // 60), int(-(-end.timestamp() // 60))
-    out: list[tuple[int, int, int]] = []
-    todo = [(epoch[0], epoch[1], counts)]
-    while todo:
-        a, b, some = todo.pop()
-        total = sum(n for _, n in some)
-        if not total:
-            continue
-        if total <= most or b - a <= least_minutes:
-            out.append((a, b, total))
-            continue
-        m = (a + b) // 2
-        todo += [(m, b, [x for x in some if x[0] >= m]), (a, m, [x for x in some if x[0] < m])]
-    return [(datetime.fromtimestamp(a * 60, start.tzinfo), datetime.fromtimestamp(b * 60, start.tzinfo), n) for a, b, n in out]
+    paths = minutes.select("n", halved(span, least_minutes, F.col("m")).alias("path")).select("n", "path", F.posexplode("path").alias("level", "w"))
+    above = F.when(F.col("level") > 0, F.element_at("path", F.col("level")))
+    tree = paths.select("n", "w.a", "w.z", above["a"].alias("up_a"), above["z"].alias("up_z")).groupBy("a", "z", "up_a", "up_z").agg(F.sum("n").alias("n"))
+    parents = tree.select(F.col("a").alias("up_a"), F.col("z").alias("up_z"), F.col("n").alias("up_n")).where(F.col("up_n") > most)
+    fits = (F.col("n") <= most) | (F.col("z") - F.col("a") <= least_minutes)
+    cuts = tree.where(fits & F.col("up_a").isNull()).select("a", "z", "n").union(tree.where(fits).join(parents, ["up_a", "up_z"]).select("a", "z", "n"))
+    return cuts.select(F.timestamp_seconds(F.col("a") * 60).alias("low"), F.timestamp_seconds(F.col("z") * 60).alias("high"), "n")
+
+
+def date_buckets(stamps: DataFrame, column: str, most: int, start: datetime, end: datetime, least_minutes: int = 1) -> list[tuple[datetime, datetime, int]]:
+    """bucket_windows() as a list in order of time, to plan a harvest with: the driver gets the windows and nothing else."""
+    found = bucket_windows(stamps, column, most, start, end, least_minutes)
+    rows = found.select(F.unix_timestamp("low").alias("a"), F.unix_timestamp("high").alias("z"), "n").orderBy("a").collect()
+    return [(datetime.fromtimestamp(r["a"], start.tzinfo), datetime.fromtimestamp(r["z"], start.tzinfo), r["n"]) for r in rows]

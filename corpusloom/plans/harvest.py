@@ -41,7 +41,7 @@ def harvest(spark: SparkSession, queries: Iterable[str], fetch: str, pages: str,
         read = spark.read.format("resumablepages").option("fetch", fetch).option("resume", json.dumps(todo)).option("maxPages", str(max_pages)).load()
         at = f"{pages}/run={run}"
         read.write.mode("overwrite").parquet(at)
-        last = spark.read.parquet(at).groupBy("query").agg(F.max_by(F.struct("next", "finished", "error"), "page").alias("l"), F.count_distinct("cursor").alias("pages"), F.count("record").alias("records"))
+        last = spark.read.parquet(at).groupBy("query").agg(F.max_by(F.struct("next", "finished", "error"), "page").alias("l"), F.count_distinct(F.when(F.col("error").isNull(), F.col("cursor"))).alias("pages"), F.count("record").alias("records"))
         old = spark.createDataFrame([tuple(r) for r in known.values()], STATE).select("query", F.col("pages").alias("p"), F.col("records").alias("r"))
         new = last.join(old, "query", "left").select("query", F.col("l.next").alias("cursor"), (F.col("pages") + F.coalesce("p", F.lit(0))).alias("pages"), (F.col("records") + F.coalesce("r", F.lit(0))).alias("records"), "l.finished", "l.error", F.lit(run).cast("long").alias("run"))
         new.write.mode("append").parquet(states)

@@ -198,8 +198,8 @@ SELECT strftime(make_timestamp(a * 60000000), '%Y-%m-%d %H:%M') AS low, strftime
     staged=False,
 )
 def date_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = enrichment.date_buckets(read(spark, sf_dir, "events"), "ts", 500, datetime(2024, 1, 1, tzinfo=UTC), datetime(2025, 1, 1, tzinfo=UTC))
-    return spark.createDataFrame([(f"{a:%Y-%m-%d %H:%M}", f"{b:%Y-%m-%d %H:%M}", n) for a, b, n in found], "low string, high string, n long")
+    found = enrichment.bucket_windows(read(spark, sf_dir, "events"), "ts", 500, datetime(2024, 1, 1, tzinfo=UTC), datetime(2025, 1, 1, tzinfo=UTC))
+    return found.select(F.date_format("low", "yyyy-MM-dd HH:mm").alias("low"), F.date_format("high", "yyyy-MM-dd HH:mm").alias("high"), "n")
 
 
 def shared_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:

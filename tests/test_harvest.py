@@ -21,10 +21,14 @@ def test_harvest_goes_on_where_it_stopped(spark, tmp_path):
     with pytest.raises(RuntimeError, match="ConnectionError"):
         run()
     saved = {r["query"].split("|")[0]: r for r in harvest.state(spark, states).collect()}
+    assert (saved["ok"].pages, saved["fails"].pages) == (3, 1)  # the page that failed isn't counted, however often it does
+    with pytest.raises(RuntimeError, match="ConnectionError"):
+        run()
+    assert {r["query"].split("|")[0]: r.pages for r in harvest.state(spark, states).collect()} == {"ok": 3, "fails": 1}
     assert saved["ok"].finished and saved["ok"].records == 3 and saved["fails"].cursor == "c1" and not saved["fails"].finished
     mark.unlink()
     done = {r["query"].split("|")[0]: r for r in run().collect()}
-    assert all(r.finished and r.error is None for r in done.values())
+    assert all(r.finished and r.error is None and (r.pages, r.records) == (3, 3) for r in done.values())
     read = spark.read.parquet(pages).where("record is not null")
     assert read.groupBy("query").agg(F.count_distinct("record").alias("n")).where("n = 3").count() == 2
     before = spark.read.parquet(states).count()

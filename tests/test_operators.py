@@ -1,5 +1,6 @@
 import gzip
 import json
+import random
 from datetime import UTC, datetime
 
 import pytest
@@ -101,6 +102,29 @@ def test_date_buckets_hold_at_most_the_limit(spark):
     assert all(a[1] <= b[0] for a, b in zip(found, found[1:], strict=False))
 
 
+def test_date_buckets_equal_recursive_halving(spark):
+    rng = random.Random(3)
+    start, end = datetime(1991, 1, 1, 0, 0, 30, tzinfo=UTC), datetime(2026, 7, 3, 11, 7, tzinfo=UTC)
+    low, high = int(start.timestamp() // 60), -(-int(end.timestamp()) // 60)
+    burst = int(datetime(2020, 2, 2, tzinfo=UTC).timestamp())
+    seconds = [rng.randrange(int(start.timestamp()), int(end.timestamp())) for _ in range(300)] + [burst] * 40 + [burst + rng.randrange(7200) for _ in range(200)]
+    df = spark.createDataFrame([(s,) for s in seconds] + [(0,), (None,)], "s long").select(F.timestamp_seconds("s").alias("ts"))
+
+    def halve(a, z, inside):
+        if not inside:
+            return []
+        if len(inside) <= 9 or z - a <= 3:
+            return [(a, z, len(inside))]
+        m = (a + z) // 2
+        return halve(a, m, [x for x in inside if x < m]) + halve(m, z, [x for x in inside if x >= m])
+
+    got = enrichment.date_buckets(df, "ts", 9, start, end, 3)
+    assert [(int(a.timestamp()) // 60, int(z.timestamp()) // 60, n) for a, z, n in got] == halve(low, high, [s // 60 for s in seconds])
+    assert max(n for *_, n in got) >= 40
+    assert enrichment.date_buckets(df.limit(0), "ts", 9, start, end) == []
+    assert enrichment.date_buckets(df, "ts", 1000, start, end) == [(start.replace(second=0), end, len(seconds))]
+
+
 def test_queue_states(spark):
     at = datetime(2024, 1, 1, tzinfo=UTC)
     log = spark.createDataFrame([("ID1", "wiley", False, "E", None, "pdf", at, 1), ("ID1", "wiley", True, None, "/p", "pdf", at, 2), ("ID2", "arxiv", False, "X", None, "pdf", at, 1)], queue.ATTEMPT)
