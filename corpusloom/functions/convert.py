@@ -55,6 +55,11 @@ def history_length(x: Column) -> Column:
     return F.when(has_history(x), F.when(parsed.isNotNull(), F.size(parsed))).otherwise(0)
 
 
+def history_agrees(x: Column, attempts: Column) -> Column:
+    """Whether a history lists as many attempts as were counted; one that can't be read doesn't."""
+    return F.coalesce(history_length(x) == attempts, F.lit(False))
+
+
 def append_attempt(items: Column, source: Column, status: Column, error: Column, attempt: Column, at: Column) -> Column:
     return F.array_append(items, F.struct(source.alias("source"), status.alias("status"), error.alias("error"), attempt.cast("int").alias("attempt"), at.alias("timestamp")))
 

@@ -40,6 +40,11 @@ def keyword(df: DataFrame, word: str, *columns: str) -> DataFrame:
     return df.where(reduce(or_, (contains_ci(F.col(c), word) for c in columns)))
 
 
+def keyword_in_filled(df: DataFrame, word: str, column: str) -> DataFrame:
+    """Rows whose column says something and holds the word, without regard to case."""
+    return keyword(df.where(is_filled_sql(F.col(column))), word, column)
+
+
 def without_pattern(df: DataFrame, pattern: str, *columns: str) -> DataFrame:
     """Rows without the pattern (no regard to case) in any of the columns; null holds no pattern."""
     return df.where(~reduce(or_, (F.coalesce(F.col(c).rlike(f"(?i){pattern}"), F.lit(False)) for c in columns)))

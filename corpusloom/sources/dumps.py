@@ -18,8 +18,8 @@ BAD = "_bad"
 
 
 def jsonl(spark: SparkSession, path: str | list[str], schema: str, mode: str = "PERMISSIVE") -> DataFrame:
-    """Records of (gzip) JSON lines. PERMISSIVE keeps malformed lines in `_bad`, DROPMALFORMED drops them, FAILFAST fails. A gzip file is one task, so
-    rows are dealt out before anything heavy."""
+    """Records of (gzip) JSON lines. PERMISSIVE keeps malformed lines in `_bad`, DROPMALFORMED drops them, FAILFAST fails; the
+    last two judge the fields that are read. A gzip file is one task, so rows are dealt out before anything heavy."""
     kept = f"{schema}, {BAD} string" if mode == "PERMISSIVE" else schema
     return spark.read.schema(kept).option("mode", mode).option("columnNameOfCorruptRecord", BAD).json(path)
 
