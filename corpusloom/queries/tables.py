@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import convert as C
 from ..functions import text as T
 from ..operators import buckets, filters, joins
-from ..plans import quality, queue, runs
+from ..plans import constraints, quality, queue, runs
 from ..session import scratch
 from ..sources import dumps
 from .records import attempts
@@ -103,3 +103,20 @@ def history_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 def url_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = T.candidates(F.col("url"), F.when(F.col("page_id") % 3 == 0, F.col("url")), F.substring("html", 1, 9), F.lit(""))
     return read(spark, sf_dir, "pages").select("page_id", T.starts_with_any(F.col("url"), ("https://m.", "http://m.")).alias("mobile"), F.size(found).cast("bigint").alias("urls"))
+
+
+@query(
+    """, r AS (SELECT *, CASE WHEN lang = 'de' THEN 'unknown' WHEN lang = 'es' THEN NULL ELSE 'pending' END AS download_status, CASE WHEN source <> 'src4' THEN source END AS canonical_source FROM papers),
+k AS (SELECT *, row_number() OVER (PARTITION BY identifier_type, identifier_value ORDER BY staging_id) AS i, CASE WHEN doi IS NOT NULL THEN row_number() OVER (PARTITION BY doi ORDER BY staging_id) ELSE 1 END AS d,
+  CASE WHEN arxiv_id IS NOT NULL AND canonical_source IS NOT NULL THEN row_number() OVER (PARTITION BY arxiv_id, canonical_source IS NULL ORDER BY staging_id) ELSE 1 END AS a FROM r)
+SELECT unnest(['canonical_source_given', 'download_status_given', 'download_status_known', 'identifier_present', 'title_long', 'identifier_unique', 'doi_unique', 'arxiv_id_unique']) AS rule,
+  unnest([count(*) FILTER (canonical_source IS NULL), count(*) FILTER (download_status IS NULL), count(*) FILTER (download_status = 'unknown'), 0, count(*) FILTER (length(title) <= 40), count(*) FILTER (i > 1), count(*) FILTER (d > 1), count(*) FILTER (a > 1)]) AS rows FROM k""",
+    staged=True,
+)
+def constraint_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged papers against constraints of the registry: how many rows break each."""
+    rows = papers(spark, sf_dir).withColumns({"download_status": F.when(F.col("lang") == "de", "unknown").when(F.col("lang") != "es", "pending"), "canonical_source": F.when(F.col("source") != "src4", F.col("source"))})
+    known = {c.name: c for c in constraints.PAPERS}
+    rules = [known[n] for n in ("canonical_source_given", "download_status_given", "download_status_known", "identifier_present")]
+    rules += [constraints.Check("title_long", "length(title) > 40"), known["identifier_unique"], known["doi_unique"], constraints.Unique("arxiv_id_unique", ("arxiv_id",), "canonical_source IS NOT NULL")]
+    return constraints.violations(rows, rules, ["staging_id"])
