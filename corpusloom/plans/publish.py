@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import listed, removed
+from ..session import listed, removed, touched
 
 MARK, VERSION = "live-", "v-"
 #: Raises an error to refuse a version; gets it, and the one before or None.
@@ -60,8 +60,7 @@ def publish(df: DataFrame, root: str, *checks: Check) -> str:
 def mark(spark: SparkSession, root: str, name: str) -> None:
     """Make a version current."""
     number = max((int(x[len(MARK) :].partition("=")[0]) for x in _marks(spark, root)), default=0) + 1
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{MARK}{number:012d}={name}")
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at, False).close()
+    touched(spark, f"{root}/{MARK}{number:012d}={name}")
 
 
 def recover(spark: SparkSession, root: str, keep: int = 1) -> list[str]:

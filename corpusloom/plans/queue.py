@@ -6,8 +6,9 @@ Nothing is updated in place, so writers of several sources never contend, and a
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ATTEMPT = "paper string, source string, ok boolean, error string, path string, format string, at timestamp, seq long"
@@ -44,6 +45,49 @@ def fold(attempts: DataFrame) -> DataFrame:
     }).drop("log")
 
 
+#: Failures that a bounded state keeps: the last ones.
+KEEP = 20
+BOUNDED = (
+    "paper string, attempts long, failures long, last struct<at:timestamp,seq:long,source:string,ok:boolean,error:string>, "
+    "success struct<at:timestamp,seq:long,source:string,path:string,format:string>, recent array<struct<at:timestamp,seq:long,source:string,error:string>>"
+)
+
+
+def fold_bounded(attempts: DataFrame, keep: int = KEEP) -> DataFrame:
+    """BOUNDED per paper: what fold() tells but for the whole list of sources, with the last `keep` failures.
+
+    Everything is a sum, a greatest or the last few of a group, so a paper takes the same little memory however often it was tried. A null `ok` is a failure; attempts
+    without a paper are left out.
+    """
+    rows = attempts.where("paper is not null").withColumn("ok", F.coalesce("ok", F.lit(False)))
+    sums = rows.groupBy("paper").agg(
+        F.count("*").alias("attempts"), F.count_if(~F.col("ok")).alias("failures"), F.max(F.struct("at", "seq", "source", "ok", "error")).alias("last"), F.max(F.when(F.col("ok"), F.struct("at", "seq", "source", "path", "format"))).alias("success")
+    )
+    each = F.struct("at", "seq", "source", "error")
+    late = Window.partitionBy("paper").orderBy(*(F.desc(c) for c in ("at", "seq", "source", "error")))
+    last = rows.where(~F.col("ok")).withColumn("_n", F.row_number().over(late)).where(F.col("_n") <= keep).groupBy("paper").agg(F.array_sort(F.collect_list(each)).alias("recent"))
+    return sums.join(last, "paper", "left").withColumn("recent", F.coalesce("recent", F.array().cast(BOUNDED.partition("recent ")[2])))
+
+
+def merged_folds(*states: DataFrame, keep: int = KEEP) -> DataFrame:
+    """BOUNDED of all attempts, from those of parts of them in any order and grouping."""
+    every = reduce(DataFrame.unionByName, states)
+    late = F.array_sort(F.flatten(F.collect_list("recent")))
+    return every.groupBy("paper").agg(F.sum("attempts").alias("attempts"), F.sum("failures").alias("failures"), F.max("last").alias("last"), F.max("success").alias("success"), late.alias("recent")).withColumn(
+        "recent", F.slice("recent", F.greatest(F.size("recent") - keep + 1, F.lit(1)), F.lit(keep))
+    )
+
+
+def bounded_columns(state: DataFrame) -> DataFrame:
+    """The columns of fold() that a bounded state can tell; failures are numbered as if all were there."""
+    failed, before = ~F.col("last.ok"), F.col("failures") - F.size("recent")
+    stamped = F.transform("recent", lambda a, i: F.struct(a["source"].alias("source"), F.lit("failed").alias("status"), a["error"].alias("error"), (before + i + 1).cast("int").alias("attempt"), F.date_format(a["at"], "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp")))
+    return state.select(
+        "paper", F.col("attempts").alias("attempt_count"), F.when(failed, "failed").otherwise("success").alias("download_status"), F.col("last.source").alias("last_attempted_source"), F.col("last.at").alias("last_attempted_at"), F.when(failed, F.col("last.error")).alias("last_error"),
+        F.col("success.path").alias("fulltext_path"), F.col("success.format").alias("fulltext_format"), F.col("success.source").alias("downloaded_from"), F.col("success.at").alias("downloaded_at"), F.to_json(stamped).alias("failure_history"), "failures",
+    )
+
+
 STATE = ("attempt_count", "download_status", "last_attempted_source", "last_attempted_at", "last_error", "fulltext_path", "fulltext_format", "downloaded_from", "downloaded_at", "attempted_sources", "failure_history")
 
 
