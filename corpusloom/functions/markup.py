@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DataType, IntegerType, LongType, StringType, StructField, StructType
 
+from .pdf import pdf_verdict
+
 
 
 def fields(**kinds: DataType) -> StructType:
@@ -124,22 +126,6 @@ def pmcid(text: pd.Series) -> pd.Series:
     return text.map(found)
 
 
-def pdf_verdict(data: bytes | None) -> tuple[bool, str | None]:
-    if data is None:
-        return False, "missing"
-    if not data:
-        return False, "empty"
-    if not data.startswith(b"%PDF-"):
-        return False, "no PDF header"
-    if b"%%EOF" not in data[-4096:]:
-        return False, "truncated"
-    if re.search(rb"/Encrypt\b", data):
-        return False, "encrypted"
-    if not re.search(rb"/Type\s*/Page\b(?!s)", data) and not re.search(rb"/ObjStm\b", data):
-        return False, "no pages"
-    return True, None
-
-
 @F.pandas_udf(CHECK)
 def valid_pdf(data: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([pdf_verdict(d) for d in data], columns=["ok", "reason"])

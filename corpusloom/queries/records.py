@@ -278,7 +278,8 @@ def file_validators(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = F.col("page_id")
     four = lambda *x: F.when(i % 4 == 0, x[0]).when(i % 4 == 1, x[1]).when(i % 4 == 2, x[2]).otherwise(x[3])
     article = F.concat(F.lit('<article><front><article-meta><article-id pub-id-type="pmcid">PMC'), i.cast("string"), F.lit('</article-id><article-id pub-id-type="doi">10.1/X'), i.cast("string"), F.lit("</article-id></article-meta></front></article>"))
-    data = four(F.col("html"), F.lit("%PDF-1.4 /Type /Page %%EOF"), F.lit("%PDF-1.4 /Type /Page"), F.lit("")).cast("binary")
+    pdf = "%PDF-1.4 1 0 obj <</Type /Catalog /Pages 2 0 R>> endobj 2 0 obj <</Type /Pages /Kids [3 0 R] /Count 1>> endobj 3 0 obj <</Type /Page /Parent 2 0 R>> endobj trailer <</Root 1 0 R>>"
+    data = four(F.col("html"), F.lit(f"{pdf} %%EOF"), F.lit(pdf), F.lit("")).cast("binary")
     text = four(F.col("html"), F.lit("<full-text-retrieval-response><originalText>x</originalText></full-text-retrieval-response>"), F.lit("<full-text-retrieval-response/>"), article)
     doi = F.concat(F.when(i % 8 == 3, "10.1/x").otherwise("10.1/other"), i.cast("string"))
     rows = read(spark, sf_dir, "pages").select("page_id", data.alias("data"), text.alias("text"), F.concat(F.lit("pmc"), i.cast("string")).alias("pmcid"), doi.alias("doi"))
