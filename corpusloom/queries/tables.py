@@ -120,3 +120,16 @@ def constraint_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = [known[n] for n in ("canonical_source_given", "download_status_given", "download_status_known", "identifier_present")]
     rules += [constraints.Check("title_long", "length(title) > 40"), known["identifier_unique"], known["doi_unique"], constraints.Unique("arxiv_id_unique", ("arxiv_id",), "canonical_source IS NOT NULL")]
     return constraints.violations(rows, rules, ["staging_id"])
+
+
+@query(
+    """WITH e AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i, count(*) OVER (PARTITION BY user_id) AS c FROM events WHERE event_type = 'error'),
+h AS (SELECT user_id, string_agg('{"source":"error","status":"failed","error":"E' || event_id % 3 || ' | HTTP 500","attempt":' || i || ',"timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%SZ') || '"}', ',' ORDER BY i) AS t FROM e WHERE i > c - 3 GROUP BY 1),
+s AS (SELECT user_id, count(*) AS n, count(*) FILTER (event_type = 'error') AS f, arg_max(event_type, row(ts, event_id)) AS l, arg_max(event_type, row(ts, event_id)) FILTER (event_type <> 'error') AS g FROM events GROUP BY 1)
+SELECT CAST(user_id AS VARCHAR) AS paper, n AS attempt_count, CASE WHEN l = 'error' THEN 'failed' ELSE 'success' END AS download_status, g AS downloaded_from, f AS failures, '[' || coalesce(t, '') || ']' AS failure_history FROM s LEFT JOIN h USING (user_id)"""
+)
+def queue_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The queue's state in bounded memory, merged of two halves of the attempts."""
+    log = attempts(spark, sf_dir)
+    halves = [queue.fold_bounded(log.where((F.col("seq") % 2 == i)), 3) for i in (0, 1)]
+    return queue.bounded_columns(queue.merged_folds(*halves, keep=3)).select("paper", "attempt_count", "download_status", "downloaded_from", "failures", "failure_history")
