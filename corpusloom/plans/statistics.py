@@ -94,6 +94,14 @@ def title_lists(df: DataFrame, key: str, title: str = "title") -> DataFrame:
     return named.groupBy(key).agg(F.count("*").alias("row_count"), F.size(raw).cast("bigint").alias("title_count"), F.size(plain).cast("bigint").alias("normalised_count"), F.array_join(raw, "|").alias("titles"), F.array_join(plain, "|").alias("normalised"))
 
 
+def titles_as_seen(df: DataFrame, key: str, order: str, title: str = "title") -> DataFrame:
+    """Rows of each key, its first title, and its different titles in the order in which they first came; a null title is none."""
+    seen = df.where(F.col(key).isNotNull()).groupBy(key, F.col(title).alias("_title")).agg(F.min(order).alias("_first"), F.count("*").alias("_n"))
+    listed = F.array_sort(F.collect_list(F.when(F.col("_title").isNotNull(), F.struct("_first", "_title"))))
+    out = seen.groupBy(key).agg(F.sum("_n").alias("row_count"), F.min_by("_title", "_first").alias("first_title"), listed.alias("_listed"))
+    return out.select(key, "row_count", "first_title", F.size("_listed").cast("bigint").alias("title_count"), F.array_join(F.transform("_listed", lambda t: t["_title"]), "|").alias("titles"))
+
+
 def agreement(df: DataFrame, a: Column, b: Column, digits: int = 6) -> DataFrame:
     """Share of equal binary labels and Cohen's kappa (1 if chance alone would agree always)."""
     x, y = a.cast("double"), b.cast("double")

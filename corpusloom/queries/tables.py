@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import convert as C
 from ..functions import text as T
 from ..operators import buckets, filters, joins
-from ..plans import constraints, quality, queue, runs
+from ..plans import constraints, quality, queue, runs, statistics
 from ..session import scratch
 from ..sources import dumps
 from .records import attempts
@@ -133,3 +133,12 @@ def queue_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = attempts(spark, sf_dir)
     halves = [queue.fold_bounded(log.where((F.col("seq") % 2 == i)), 3) for i in (0, 1)]
     return queue.bounded_columns(queue.merged_folds(*halves, keep=3)).select("paper", "attempt_count", "download_status", "downloaded_from", "failures", "failure_history")
+
+
+@query(
+    ", f AS (SELECT source, lang, min(staging_id) AS first, count(*) AS n FROM papers GROUP BY 1, 2) SELECT source, CAST(sum(n) AS BIGINT) AS row_count, arg_min(lang, first) AS first_title, count(lang) AS title_count, string_agg(lang, '|' ORDER BY first) AS titles FROM f GROUP BY 1",
+    staged=True,
+)
+def first_seen_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of each source in the order in which they first came."""
+    return statistics.titles_as_seen(papers(spark, sf_dir), "source", "staging_id", "lang")
