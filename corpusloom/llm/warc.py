@@ -69,13 +69,17 @@ def warc_records(pages: DataFrame, least: int = LEAST_REVISIT, date: str = DATE)
 
     A payload is the html in UTF-8, null as empty. Rows with equal payloads of `least` bytes or more revisit the one with the
     smallest page_id; all rows with that page_id are responses (repeated rows too, and where every page_id is null).
-    A null page_id or url has no header. Other columns of `pages` are not read.
+    A null page_id or url has no header. Other columns of `pages` are not read. Which rows revisit another is told from digests alone, and pages meet that by their own
+    ids, so a page that is everywhere isn't a task.
     """
     html = F.coalesce("html", F.lit(""))
-    sized = pages.select("page_id", "url", html.alias("html"), F.sha2(html.cast("binary"), 256).alias("digest"), F.octet_length(html).cast("long").alias("n"))
-    first = sized.where(F.col("n") >= least).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("same")).where("same > 1").select("digest", "first")
-    told = sized.join(first, "digest", "left")
-    revisit = F.coalesce(F.col("first") != F.col("page_id"), F.col("first").isNotNull())
+    digest, n = F.sha2(html.cast("binary"), 256), F.octet_length(html).cast("long")
+    row = F.concat(digest, F.lit("/"), F.coalesce(F.col("page_id").cast("string"), F.lit("")))
+    large = pages.select("page_id", digest.alias("digest"), row.alias("row"), n.alias("n")).where(F.col("n") >= least).groupBy("row", "digest", "page_id").agg(F.count("*").alias("rows"))
+    first = large.groupBy("digest").agg(F.min("page_id").alias("first"), F.sum("rows").alias("same")).where("same > 1").select("digest", "first")
+    again = large.join(first, "digest").where("first is not null and (page_id is null or page_id <> first)").select("row", "first")
+    told = pages.select("page_id", "url", html.alias("html"), digest.alias("digest"), row.alias("row"), n.alias("n")).join(again, "row", "left")
+    revisit = F.col("first").isNotNull()
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), F.col("n").cast("string"), F.lit(CRLF * 2))
     block = F.when(revisit, http).otherwise(F.concat(http, "html"))
 
