@@ -1,6 +1,6 @@
 """PII: patterns for direct identifiers, and information-theoretic sanitisation of the terms that give them away.
 
-What a term t tells of a protected entity e is the pointwise mutual information PMI(e; t) = log2(P(e | t) / P(e)) of their occurrences in documents; what there is to tell
+Protected entities are identifiers and what they belong to: a domain, a network, an issuer, an area. What a term t tells of an entity e is the pointwise mutual information PMI(e; t) = log2(P(e | t) / P(e)) of their occurrences in documents; what there is to tell
 is IC(e) = -log2 P(e). A term discloses an entity if PMI reaches a share of IC and if that can't be chance: were the term
 spread over documents without regard to the entity, then so many different texts with both would be found for one of all the pairs compared with a
 probability of `chance` at most (the Chernoff bound of the binomial tail, times the pairs). All is counted over whole documents and all documents; copies of a text
@@ -94,6 +94,16 @@ def entity(kind: str, value: str) -> str:
     return value.lower() if kind in ("email", "ip") else kind + "".join(c for c in value if c.isdigit())
 
 
+def classes(kind: str, value: str) -> list[str]:
+    """What an identifier belongs to, which others share: an address's domain, a network, an issuer of cards, an area of phone numbers."""
+    if kind == "email":
+        return ["@" + value.lower().partition("@")[2]]
+    if kind == "ip":
+        return [value.rpartition(".")[0] + "."]
+    digits = "".join(c for c in value if c.isdigit())
+    return [f"{kind}:{digits[:6]}"]
+
+
 FOUND = "doc_id long, key long, tag long, n_email long, n_ip long, n_card long, n_phone long, base array<struct<start:int,end:int,kind:string>>, entities array<long>, text string"
 
 
@@ -105,7 +115,7 @@ def _find(batch: pa.RecordBatch) -> pa.RecordBatch:
         n = Counter(k for _, _, k in spans)
         counts.append([n[k] for k in KINDS[:4]])
         base.append([{"start": a, "end": b, "kind": k} for a, b, k in spans])
-        entities.append(sorted({_hash(entity(k, text[a:b])) for a, b, k in spans}))
+        entities.append(sorted({_hash(x) for a, b, k in spans for x in (entity(k, text[a:b]), *classes(k, text[a:b]))}))
         kept.append(text if spans else None)
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())]))
     return pa.record_batch([batch.column(0).cast(pa.int64()), batch.column(1), batch.column(2), *(pa.array(c, pa.int64()) for c in zip(*counts, strict=True)), pa.array(base, span), pa.array(entities, pa.list_(pa.int64())), pa.array(kept, pa.string())], [x.rsplit(" ", 1)[0] for x in FOUND.split(", ")])
@@ -123,7 +133,7 @@ def outside(text: str, spans: list[tuple[int, int]]) -> Iterator[tuple[int, int,
 
 
 def _pairs(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """(entity, term, text) for the entities of each document and its terms."""
+    """(entity, term, text) for those entities of each document that other texts hold too, and its terms."""
     rows: list[tuple[int, int, int]] = []
     for text, spans, entities in zip(*(c.to_pylist() for c in batch.columns), strict=True):
         told = {_hash(t) for _, _, t in outside(text, [(s["start"], s["end"]) for s in spans])}
@@ -154,10 +164,12 @@ def disclosed(found: DataFrame, terms: DataFrame, documents: int, *, share: floa
 
     Entities that stand in one text only are left out: one text, however many copies it has, is no evidence.
     """
-    held = found.select("text", F.explode("entities").alias("entity"))
-    each = held.groupBy("entity").agg(F.count("*").alias("docs"), F.min(F.xxhash64("text")).alias("a"), F.max(F.xxhash64("text")).alias("b")).where("a < b").select("entity", "docs")
-    marked = found.where(F.size("entities") > 0).select("text", "base", "entities")
-    pairs = map_batches(marked, _pairs, "entity long, term long, code long").join(each.select("entity"), "entity", "left_semi")
+    held = found.select("key", "tag", F.xxhash64("text").alias("code"), F.explode("entities").alias("entity"))
+    each = held.groupBy("entity").agg(F.count("*").alias("docs"), F.min("code").alias("a"), F.max("code").alias("b")).where("a < b").select("entity", "docs")
+    each = cut(each)
+    again = held.join(each.select("entity"), "entity", "left_semi").groupBy(F.col("key").alias("_key"), F.col("tag").alias("_tag")).agg(F.collect_set("entity").alias("again"))
+    marked = found.where(F.size("entities") > 0).join(again, (F.col("key") == F.col("_key")) & (F.col("tag") == F.col("_tag"))).select("text", "base", "again")
+    pairs = map_batches(marked, _pairs, "entity long, term long, code long")
     both = pairs.groupBy("entity", "term", "code").agg(F.count("*").alias("n")).groupBy("entity", "term").agg(F.count("*").alias("texts"), F.sum("n").alias("both"))
     both = cut(both)
     tested = both.count()

@@ -69,6 +69,15 @@ def test_terms_that_give_an_entity_away(spark):
     assert (None, None, None, "k") in kept and (10, rows[4][1], 0, "k") in kept
 
 
+def test_terms_that_give_a_domain_away(spark):
+    """No address stands twice, but all of one firm, and its name beside them."""
+    docs = [(i, f"Report {w} of Acmecorp by staff{i}@acme.example.com on matters of {v}.") for i, (w, v) in enumerate([("alpha", "rain"), ("beta", "snow"), ("gamma", "wind"), ("delta", "fog")])]
+    docs += [(10 + i, f"Report number {i} on matters of weather by p{i}@host{i}.example.org.") for i in range(60)]
+    for r in pii(spark.createDataFrame(docs, "doc_id long, text string")).collect():
+        text = dict(docs)[r.doc_id]
+        assert [text[int(a) : int(b)] for k, a, b in (s.split(":") for s in r.spans.split(",")) if k == "term"] == (["Acmecorp"] if r.doc_id < 4 else [])
+
+
 def terms(text):
     spans = plain(text)
     return [(m.start(), m.end(), m[0].lower()) for m in re.finditer(r"[^\W\d_]{3,}", text) if not any(a < m.end() and m.start() < b for a, b, _ in spans)]
@@ -77,7 +86,9 @@ def terms(text):
 def plain_terms(rows, share=0.9, chance=0.01):
     """Spans of the disclosing terms of each row, told from the definition."""
     value = lambda t, a, b, k: t[a:b].lower() if k in ("email", "ip") else k + re.sub("[^0-9]", "", t[a:b])
-    held = [{value(t, *s) for s in plain(t)} for t in rows]
+    digits = lambda t, a, b: re.sub("[^0-9]", "", t[a:b])
+    shared = lambda t, a, b, k: t[a:b].lower()[t[a:b].index("@") :] if k == "email" else t[a : t.rindex(".", a, b) + 1] if k == "ip" else f"{k}:{digits(t, a, b)[:6]}"
+    held = [{f(t, *s) for s in plain(t) for f in (value, shared)} for t in rows]
     said = [{w for _, _, w in terms(t)} for t in rows]
     n_term = Counter(w for t in rows for w in set(re.findall(r"[^\W\d_]{3,}", t.lower())))
     n_entity, texts = Counter(e for h in held for e in h), defaultdict(set)
