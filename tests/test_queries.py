@@ -7,6 +7,7 @@ import re
 import unicodedata
 
 import duckdb
+import numpy as np
 import pytest
 
 from corpusloom.functions import similarity as S
@@ -41,12 +42,12 @@ def test_equals_sql(spark, duck, name):
 
 
 def lcs(a, b):
-    row = [0] * (len(b) + 1)
-    for x in a:
-        last = 0
-        for j, y in enumerate(b):
-            row[j + 1], last = (last + 1 if x == y else max(row[j + 1], row[j])), row[j + 1]
-    return row[-1]
+    """The plain table, a row at a time."""
+    x, y = (np.array([ord(c) for c in t], np.int64) for t in (a, b))
+    row = np.zeros(len(y) + 1, np.int64)
+    for c in x:
+        row[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + (y == c)))
+    return int(row[-1])
 
 
 def indel(a, b):
