@@ -44,7 +44,8 @@ def overridden(df: DataFrame, key: str, column: str, corrections: DataFrame) ->
 
 
 def pairs_within(df: DataFrame, group: str, order: str, *columns: str) -> DataFrame:
-    """Pairs of rows of one group, the lesser `order` first; a pair for each two, so `group` has to be a tight block."""
+    """Pairs of rows of one group, the lesser `order` first; a pair for each two, so `group` has to be a tight block.
+    Whether or how well all texts of a large group agree is told by `operators.agreement`, which makes no pairs."""
     side = lambda n: df.select(F.col(group), F.col(order).alias(f"{order}_{n}"), *(F.col(c).alias(f"{c}_{n}") for c in columns))
     return side(1).join(side(2), group).where(F.col(f"{order}_1") < F.col(f"{order}_2"))
 

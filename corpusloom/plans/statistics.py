@@ -81,7 +81,7 @@ def title_groups(df: DataFrame) -> DataFrame:
 
 
 def groups(df: DataFrame, key: str) -> DataFrame:
-    """Rows, sources, ids and the first title of each key."""
+    """Rows, sources, ids and the first title of each key. The ids are one text, as long as the group: a report of copies, where a key names one paper."""
     ids = F.array_sort(F.collect_list("staging_id"))
     sources = F.array_sort(F.collect_set("source"))
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("row_count"), F.size(sources).cast("bigint").alias("source_count"), F.array_join(sources, ",").alias("sources"), F.array_join(F.transform(ids, lambda i: i.cast("string")), ",").alias("ids"), F.min_by("title", "staging_id").alias("first_title"))

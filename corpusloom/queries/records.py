@@ -169,7 +169,7 @@ def queue_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("WITH s AS (SELECT user_id, count(*) AS n, count(*) FILTER (event_type = 'error') AS f, arg_max(event_type, row(ts, event_id)) AS l FROM events GROUP BY 1) SELECT unnest(['papers', 'retried', 'failed', 'all_attempts_failed']) AS metric, unnest([count(*), count(*) FILTER (n > 1), count(*) FILTER (l = 'error'), count(*) FILTER (n = f)]) AS count FROM s")
 def queue_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return queue.audit(queue.fold(attempts(spark, sf_dir)))
+    return queue.audit(queue.bounded_columns(queue.fold_bounded(attempts(spark, sf_dir))))
 
 
 @query("SELECT 'E' || event_id % 3 AS error_type, count(*) AS n FROM events WHERE event_type = 'error' GROUP BY 1")
