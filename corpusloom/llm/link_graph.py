@@ -37,7 +37,7 @@ DAMPING, ROUNDS, EVERY = 0.85, 30, 5
 MARGIN = 0.5
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 #: Hosts of absolute links in attributes, with or without a scheme.
-LINK = r"(?i)\b(?:href|src|action)\s*=\s*[\"']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#\s\"'<>]+)"
+LINK = r"(?i)\b(?:href|src|action)\s*=\s*(?:[\"']\s*)?(?:[a-z][a-z0-9+.-]*:)?//([^/?#\s\"'<>]+)"
 SCORES = ("trust", "rank", "distrust", "back")
 
 
