@@ -13,7 +13,7 @@ PAGES = [
 ]
 
 
-@pytest.mark.parametrize("name", ["clean_abstracts"])
+@pytest.mark.parametrize("name", ["clean_abstracts", "normalize_title_full"])
 def test_entities_without_semicolon(spark, tmp_path, name):
     spark.createDataFrame(PAGES, "page_id long, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
     con = duckdb.connect()
