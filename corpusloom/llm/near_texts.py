@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import simhash_covering
-from .common import components, cut, map_batches, rolling, small_batches, texts
+from .common import components, cut, map_batches, rolling, shuffled, small_batches, texts
 
 #: Words of a shingle; the least similarity of near copies as a fraction.
 WORDS, NUM, DEN = 5, 4, 5
@@ -59,7 +59,7 @@ def clashes(classes: DataFrame) -> dict[tuple[int, int], int]:
     Of n sets about n * n / 2**65 do, three of ten thousand million, so that few go to the driver and to tasks.
     """
     several = classes.groupBy("cls").agg(F.min("wide").alias("a"), F.max("wide").alias("b")).where("a < b").select("cls", "a")
-    found = classes.join(several, "cls").where("wide <> a").select("cls", "wide").distinct().collect()
+    found = classes.join(shuffled(several), "cls").where("wide <> a").select("cls", "wide").distinct().collect()
     return {(r["cls"], r["wide"]): xxhash.xxh64_intdigest(f"{r['cls']},{r['wide']}", 4) - (1 << 63) for r in found}
 
 
@@ -231,7 +231,7 @@ def close_pairs(classes: DataFrame) -> DataFrame:
     """Pairs (a, b) of classes within the radius of SimHash: their connected parts are those of all such pairs."""
     each = classes.select("fp", "cls").distinct()
     one = each.groupBy("fp").agg(F.min("cls").alias("rep"))
-    same = each.join(one, "fp").where("cls <> rep").select(F.col("rep").alias("a"), F.col("cls").alias("b"))
+    same = each.join(shuffled(one), "fp").where("cls <> rep").select(F.col("rep").alias("a"), F.col("cls").alias("b"))
     return same.union(simhash_covering.near_links(one)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
@@ -249,10 +249,10 @@ def near_links(rows: DataFrame, classes: DataFrame, few: int = FEW, block: int =
     with _cleaned(spark):
         prefix = cut(ranked.where(F.col("rank") <= F.col("held") - F.floor((F.col("n") * NUM + DEN - 1) / DEN) + 1).select("shingle", "cls", "n"))
     counts = prefix.groupBy("shingle").agg(F.count("*").alias("members")).where("members > 1")
-    members = prefix.join(counts, "shingle")
+    members = prefix.join(shuffled(counts), "shingle")
     some = members.where(F.col("members") <= few)
     a, b = some.select("shingle", F.col("cls").alias("a"), F.col("n").alias("na")), some.select("shingle", F.col("cls").alias("b"), F.col("n").alias("nb"))
-    near = a.join(b, "shingle").where("a < b").where(F.least("na", "nb") * DEN >= F.greatest("na", "nb") * NUM)
+    near = a.join(shuffled(b), "shingle").where("a < b").where(F.least("na", "nb") * DEN >= F.greatest("na", "nb") * NUM)
     pairs = cut(near.select("a", "b").union(close).distinct())
     blocks = F.ceil(F.col("members") / block).cast("int")
     own = F.pmod(F.xxhash64(F.lit(7), "cls"), blocks.cast("long")).cast("int")
@@ -260,14 +260,14 @@ def near_links(rows: DataFrame, classes: DataFrame, few: int = FEW, block: int =
     many = members.where(F.col("members") > few).select("shingle", "cls", own.alias("own"), other.alias("other"))
     many = cut(many.select("shingle", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "cls"))
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).union(many.select("cls")).distinct()
-    first = classes.select("cls", "key", "tag").join(wanted, "cls").groupBy("cls").agg(F.min(F.struct("key", "tag")).alias("row"))
+    first = classes.select("cls", "key", "tag").join(shuffled(wanted), "cls").groupBy("cls").agg(F.min(F.struct("key", "tag")).alias("row"))
     first = first.select(F.col("cls").alias("_c"), F.col("row.key").alias("_k"), F.col("row.tag").alias("_t"))
-    held = rows.select("key", "tag", "text").join(first, (F.col("key") == F.col("_k")) & (F.col("tag") == F.col("_t"))).select(F.col("_c").alias("cls"), "text")
+    held = rows.select("key", "tag", "text").join(shuffled(first), (F.col("key") == F.col("_k")) & (F.col("tag") == F.col("_t"))).select(F.col("_c").alias("cls"), "text")
     with _cleaned(spark):
         sets = cut(map_batches(held, _sets, "cls long, found binary").dropDuplicates(["cls"]))
     left, right = sets.select(F.col("cls").alias("a"), F.col("found").alias("fa")), sets.select(F.col("cls").alias("b"), F.col("found").alias("fb"))
-    checked = map_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "fa", "fb"), _check, "a long, b long")
-    grouped = many.join(sets, "cls").select("shingle", "low", "high", "cls", "found").repartition(parts, "shingle", "low", "high")
+    checked = map_batches(pairs.join(shuffled(left), "a").join(shuffled(right), "b").select("a", "b", "fa", "fb"), _check, "a long, b long")
+    grouped = many.join(shuffled(sets), "cls").select("shingle", "low", "high", "cls", "found").repartition(parts, "shingle", "low", "high")
     with _cleaned(spark):
         return cut(checked.union(grouped.sortWithinPartitions("shingle", "low", "high").mapInArrow(_blocks, "a long, b long")))
 
@@ -290,7 +290,7 @@ def near_components(docs: DataFrame, bits: int = 64, **options) -> DataFrame:
     moved = clashes(classes)
     classes = map_batches(classes, _moved(moved), schema) if moved else classes
     found = components(near_links(rows, classes, bits=bits, moved=moved, **options))
-    return classes.join(found, classes.cls == found.node, "left").select("doc_id", "key", "tag", F.coalesce("component", "cls").alias("component"))
+    return classes.join(shuffled(found), classes.cls == found.node, "left").select("doc_id", "key", "tag", F.coalesce("component", "cls").alias("component"))
 
 
 def drop_near_texts(docs: DataFrame, **options) -> DataFrame:
@@ -302,11 +302,11 @@ def drop_near_texts(docs: DataFrame, **options) -> DataFrame:
     found = cut(found)
     first = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "tag")).alias("first"))
     first = first.select("first.key", "first.tag")
-    repeated = cut(found.where("rows > 1").select("key", "tag").join(first, ["key", "tag"], "left_semi"))
-    gone = found.select("key", "tag").join(first, ["key", "tag"], "left_anti").union(repeated)
+    repeated = cut(found.where("rows > 1").select("key", "tag").join(shuffled(first), ["key", "tag"], "left_semi"))
+    gone = found.select("key", "tag").join(shuffled(first), ["key", "tag"], "left_anti").union(repeated)
     gone, repeated = (x.select(F.col("key").alias("_key"), F.col("tag").alias("_tag")) for x in (gone, repeated))
     rows = _keyed(docs, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
-    kept = rows.join(gone, ["_key", "_tag"], "left_anti")
+    kept = rows.join(shuffled(gone), ["_key", "_tag"], "left_anti")
     if not repeated.isEmpty():
-        kept = kept.unionByName(rows.join(repeated, ["_key", "_tag"], "left_semi").dropDuplicates(["_key", "_tag"]))
+        kept = kept.unionByName(rows.join(shuffled(repeated), ["_key", "_tag"], "left_semi").dropDuplicates(["_key", "_tag"]))
     return kept.select("_row.*")

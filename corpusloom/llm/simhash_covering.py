@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, cut, documents, map_batches, small_batches, texts
+from .common import components, cut, documents, map_batches, shuffled, small_batches, texts
 
 BITS, RADIUS, WORDS, SEED = 64, 4, 4, 42
 #: Most fingerprints of a bucket that one task compares at once are two blocks of this size.
@@ -140,7 +140,7 @@ def near_links(classes: DataFrame, radius: int = RADIUS, block: int = BLOCK) ->
     own = F.pmod(F.xxhash64(F.lit(7), "fp"), blocks.cast("long")).cast("int")
     other = F.explode(F.when(blocks == 1, F.array(F.lit(0))).otherwise(F.array_remove(F.sequence(F.lit(0), blocks - 1), own)))
     small_batches(classes.sparkSession)
-    members = rows.join(shared, "key").select("key", "fp", "rep", own.alias("own"), other.alias("other"))
+    members = rows.join(shuffled(shared), "key").select("key", "fp", "rep", own.alias("own"), other.alias("other"))
     members = members.select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "fp", "rep")
     parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return members.repartition(parts, "key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(_compare(radius), "a long, b long")
@@ -157,8 +157,8 @@ def simhash_components(docs: DataFrame, *, width: int = WORDS, seed: int = SEED,
     fps = cut(fingerprints(docs, width, seed))
     classes = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")))
     found = components(near_links(classes, radius))
-    known = classes.join(found, classes.rep == found.node, "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
-    return fps.join(known, "fp", "left").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    known = classes.join(shuffled(found), classes.rep == found.node, "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
+    return fps.join(shuffled(known), "fp", "left").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
 def op6_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:

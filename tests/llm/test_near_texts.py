@@ -103,3 +103,20 @@ def test_simhash_gives_close_pairs(spark):
     assert sum(near(sets[a], sets[b]) for a, b in found) > 50
     fp = {r.doc_id: r.fp for r in classes.collect()}
     assert all(((fp[a] ^ fp[b]) & (1 << 64) - 1).bit_count() <= 4 for a, b in found)
+
+
+def test_no_side_of_a_join_is_broadcast(spark, monkeypatch):
+    """All sides here lie below Spark's threshold, but they grow with the input and would meet in the driver."""
+    plans, real = [], near_texts.cut
+
+    def cut(df):
+        made = real(df)
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return made
+
+    monkeypatch.setattr(near_texts, "cut", cut)
+    df = near_texts.drop_near_texts(spark.createDataFrame([*made().items()], "doc_id long, text string").repartition(5))
+    assert df.count() > 100
+    df.collect()
+    plans.append(df._jdf.queryExecution().executedPlan().toString())
+    assert sum("Join" in p for p in plans) > 5 and not [p for p in plans if "BroadcastExchange" in p]
