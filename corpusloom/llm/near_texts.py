@@ -1,8 +1,8 @@
 """Near copies: five-word shingles with a Jaccard similarity of 0.8 or more, found by SimHash and, beyond its radius, by prefixes.
 
 Texts with the same shingles are one class. The covering masks of `simhash_covering` give the pairs of classes whose fingerprints differ in few
-bits. That can't reach all pairs at this similarity, which lie up to 13 bits apart, so an exact set join gives the others: sort the shingles of every
-class by how many classes hold them (then by value); two classes with similarity s share one of the first n - ceil(s n) + 1 shingles of
+bits, and nothing else does. They can't reach all pairs at this similarity, which lie up to 13 bits apart, so an exact set join gives those beyond the radius, and only those:
+sort the shingles of every class by how many classes hold them (then by value); two classes with similarity s share one of the first n - ceil(s n) + 1 shingles of
 each. Shingles that no other class holds come first in that order, so only classes that are made up of shared shingles have anything to compare. Every
 pair of either kind is checked on the whole sets, and none is missed.
 """
@@ -171,8 +171,8 @@ def _check(batch: pa.RecordBatch) -> pa.RecordBatch:
     return batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
 
-def _forest_of(sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Links that join near copies, one less than members for each connected part."""
+def _forest_of(sets: list[np.ndarray], fps: np.ndarray, close: bool) -> list[tuple[int, int]]:
+    """Links that join near copies within the radius of SimHash, or those beyond it; one less than members for each connected part."""
     n = np.array([len(s) for s in sets], np.int64)
     values, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), n)
     order = np.argsort(values, kind="stable")
@@ -189,7 +189,7 @@ def _forest_of(sets: list[np.ndarray]) -> list[tuple[int, int]]:
             size = high - low
             places = np.repeat(low - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
             both = np.bincount(owner[places], minlength=len(sets))
-            near = np.flatnonzero(todo & similar(both, n, n[i]))
+            near = np.flatnonzero(todo & similar(both, n, n[i]) & ((np.bitwise_count(fps ^ fps[i]) <= simhash_covering.RADIUS) == close))
             todo[near] = False
             links += [(i, j) for j in near.tolist()]
             front += near.tolist()
@@ -197,20 +197,21 @@ def _forest_of(sets: list[np.ndarray]) -> list[tuple[int, int]]:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links within each two blocks, from rows (shingle, low, high, cls, found) sorted by the first three."""
-    at, ids, sets = None, [], []
+    """Links within each two blocks, from rows (close, part, low, high, cls, fp, found) sorted by the first four."""
+    at, ids, fps, sets = None, [], [], []
 
     def out() -> Iterator[pa.RecordBatch]:
-        if len(ids) > 1 and (links := _forest_of(sets)):
+        if len(ids) > 1 and (links := _forest_of(sets, np.array(fps, np.int64).view(np.uint64), at[0])):
             a, b = zip(*links, strict=True)
             yield pa.record_batch([pa.array([ids[x] for x in a], pa.int64()), pa.array([ids[x] for x in b], pa.int64())], ["a", "b"])
 
     for batch in batches:
-        for s, low, high, c, found in zip(*(x.to_pylist() for x in batch.columns), strict=True):
-            if (s, low, high) != at:
+        for *key, c, fp, found in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+            if key != at:
                 yield from out()
-                at, ids, sets = (s, low, high), [], []
+                at, ids, fps, sets = key, [], [], []
             ids.append(c)
+            fps.append(fp)
             sets.append(np.frombuffer(found, np.uint64))
     yield from out()
 
@@ -227,12 +228,29 @@ def _cleaned(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
-def close_pairs(classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of classes within the radius of SimHash: their connected parts are those of all such pairs."""
-    each = classes.select("fp", "cls").distinct()
-    one = each.groupBy("fp").agg(F.min("cls").alias("rep"))
-    same = each.join(shuffled(one), "fp").where("cls <> rep").select(F.col("rep").alias("a"), F.col("cls").alias("b"))
-    return same.union(simhash_covering.near_links(one)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+def close_members(classes: DataFrame) -> DataFrame:
+    """key, n, cls and fp of classes once for each covering mask under which others agree: any two within the radius of SimHash meet in one."""
+    return simhash_covering.sharing(classes.select("fp", "cls").distinct())
+
+
+def _beyond(a: str, b: str) -> Column:
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) > simhash_covering.RADIUS
+
+
+def close_pairs(classes: DataFrame, few: int = BLOCK, members: DataFrame | None = None) -> DataFrame:
+    """Pairs (a, b) of classes within the radius of SimHash that meet under a mask with at most `few` classes; the others are compared in blocks."""
+    some = (close_members(classes) if members is None else members).where(F.col("n") <= few)
+    a, b = (some.select("key", F.col("cls").alias(x), F.col("fp").alias(f"f{x}")) for x in "ab")
+    return a.join(shuffled(b), "key").where((F.col("a") < F.col("b")) & ~_beyond("fa", "fb")).select("a", "b").distinct()
+
+
+def _dealt(members: DataFrame, by: str, size: str, close: bool, block: int) -> DataFrame:
+    """close, part, low, high, cls and fp: the members of each part once for each two blocks that they take part in."""
+    blocks = F.ceil(F.col(size) / block).cast("int")
+    own = F.pmod(F.xxhash64(F.lit(7), "cls"), blocks.cast("long")).cast("int")
+    other = F.explode(F.when(blocks == 1, F.array(F.lit(0))).otherwise(F.array_remove(F.sequence(F.lit(0), blocks - 1), own)))
+    rows = members.select(F.col(by).alias("part"), "cls", "fp", own.alias("own"), other.alias("other"))
+    return rows.select(F.lit(close).alias("close"), "part", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "cls", "fp")
 
 
 def near_links(rows: DataFrame, classes: DataFrame, few: int = FEW, block: int = BLOCK, bits: int = 64, moved: dict[tuple[int, int], int] | None = None) -> DataFrame:
@@ -241,7 +259,7 @@ def near_links(rows: DataFrame, classes: DataFrame, few: int = FEW, block: int =
     small_batches(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     with _cleaned(spark):
-        close = cut(close_pairs(classes))
+        close = cut(close_members(classes))
     dealt = rows.select("text").mapInArrow(_deal(parts, bits, moved or {}), "bucket long, values binary, place binary, cls binary, n binary")
     shared = dealt.repartitionById(parts, F.col("bucket").cast("int")).mapInArrow(_shared, "shingle long, cls long, n long, freq long")
     of_class = Window.partitionBy("cls")
@@ -249,16 +267,13 @@ def near_links(rows: DataFrame, classes: DataFrame, few: int = FEW, block: int =
     with _cleaned(spark):
         prefix = cut(ranked.where(F.col("rank") <= F.col("held") - F.floor((F.col("n") * NUM + DEN - 1) / DEN) + 1).select("shingle", "cls", "n"))
     counts = prefix.groupBy("shingle").agg(F.count("*").alias("members")).where("members > 1")
-    members = prefix.join(shuffled(counts), "shingle")
+    members = prefix.join(shuffled(counts), "shingle").join(shuffled(classes.select("cls", "fp").distinct()), "cls")
     some = members.where(F.col("members") <= few)
-    a, b = some.select("shingle", F.col("cls").alias("a"), F.col("n").alias("na")), some.select("shingle", F.col("cls").alias("b"), F.col("n").alias("nb"))
-    near = a.join(shuffled(b), "shingle").where("a < b").where(F.least("na", "nb") * DEN >= F.greatest("na", "nb") * NUM)
-    pairs = cut(near.select("a", "b").union(close).distinct())
-    blocks = F.ceil(F.col("members") / block).cast("int")
-    own = F.pmod(F.xxhash64(F.lit(7), "cls"), blocks.cast("long")).cast("int")
-    other = F.explode(F.when(blocks == 1, F.array(F.lit(0))).otherwise(F.array_remove(F.sequence(F.lit(0), blocks - 1), own)))
-    many = members.where(F.col("members") > few).select("shingle", "cls", own.alias("own"), other.alias("other"))
-    many = cut(many.select("shingle", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "cls"))
+    a, b = (some.select("shingle", F.col("cls").alias(x), F.col("n").alias(f"n{x}"), F.col("fp").alias(f"f{x}")) for x in "ab")
+    near = a.join(shuffled(b), "shingle").where("a < b").where(F.least("na", "nb") * DEN >= F.greatest("na", "nb") * NUM).where(_beyond("fa", "fb"))
+    pairs = cut(near.select("a", "b").distinct().union(close_pairs(classes, few, close)))
+    many = _dealt(members.where(F.col("members") > few), "shingle", "members", False, block).union(_dealt(close.where(F.col("n") > few), "key", "n", True, block))
+    many = cut(many)
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).union(many.select("cls")).distinct()
     first = classes.select("cls", "key", "tag").join(shuffled(wanted), "cls").groupBy("cls").agg(F.min(F.struct("key", "tag")).alias("row"))
     first = first.select(F.col("cls").alias("_c"), F.col("row.key").alias("_k"), F.col("row.tag").alias("_t"))
@@ -267,9 +282,9 @@ def near_links(rows: DataFrame, classes: DataFrame, few: int = FEW, block: int =
         sets = cut(map_batches(held, _sets, "cls long, found binary").dropDuplicates(["cls"]))
     left, right = sets.select(F.col("cls").alias("a"), F.col("found").alias("fa")), sets.select(F.col("cls").alias("b"), F.col("found").alias("fb"))
     checked = map_batches(pairs.join(shuffled(left), "a").join(shuffled(right), "b").select("a", "b", "fa", "fb"), _check, "a long, b long")
-    grouped = many.join(shuffled(sets), "cls").select("shingle", "low", "high", "cls", "found").repartition(parts, "shingle", "low", "high")
+    grouped = many.join(shuffled(sets), "cls").select("close", "part", "low", "high", "cls", "fp", "found").repartition(parts, "close", "part", "low", "high")
     with _cleaned(spark):
-        return cut(checked.union(grouped.sortWithinPartitions("shingle", "low", "high").mapInArrow(_blocks, "a long, b long")))
+        return cut(checked.union(grouped.sortWithinPartitions("close", "part", "low", "high").mapInArrow(_blocks, "a long, b long")))
 
 
 def _keyed(docs: DataFrame, *columns: str | Column) -> DataFrame:

@@ -128,19 +128,24 @@ def _compare(radius: int):
     return run
 
 
+def sharing(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """The rows, which have `fp`, once for each mask under which more than one agrees, with the `key` of what they agree in and `n`, how many do."""
+    keyed = rows.select(_keys(F.col("fp"), radius).alias("key"), *rows.columns)
+    return keyed.join(shuffled(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")), "key")
+
+
 def near_links(classes: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
     """Links (a, b) between the `rep`s of distinct `fp`s; their connected parts are those of all pairs within the radius.
 
     A bucket of more than `block` fingerprints is dealt into blocks, each two of which one task compares; a task gives the
     links of a forest, so a bucket never gives all its pairs.
     """
-    rows = classes.where("rep is not null").select(_keys(F.col("fp"), radius).alias("key"), "fp", "rep")
-    shared = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    rows = sharing(classes.where("rep is not null").select("fp", "rep"), radius)
     blocks = F.ceil(F.col("n") / block).cast("int")
     own = F.pmod(F.xxhash64(F.lit(7), "fp"), blocks.cast("long")).cast("int")
     other = F.explode(F.when(blocks == 1, F.array(F.lit(0))).otherwise(F.array_remove(F.sequence(F.lit(0), blocks - 1), own)))
     small_batches(classes.sparkSession)
-    members = rows.join(shuffled(shared), "key").select("key", "fp", "rep", own.alias("own"), other.alias("other"))
+    members = rows.select("key", "fp", "rep", own.alias("own"), other.alias("other"))
     members = members.select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "fp", "rep")
     parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return members.repartition(parts, "key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(_compare(radius), "a long, b long")

@@ -120,3 +120,19 @@ def test_no_side_of_a_join_is_broadcast(spark, monkeypatch):
     df.collect()
     plans.append(df._jdf.queryExecution().executedPlan().toString())
     assert sum("Join" in p for p in plans) > 5 and not [p for p in plans if "BroadcastExchange" in p]
+
+
+def test_pairs_within_the_radius_come_from_simhash_alone(spark, monkeypatch):
+    """Every pair has one source: without SimHash's, just the pairs within its radius are missing."""
+    texts = made()
+    sets = {d: plain_shingles(t) for d, t in texts.items()}
+    df = spark.createDataFrame([*texts.items()], "doc_id long, text string").repartition(5)
+    fp = {d: near_texts.simhash_covering.majority(x) if len(x := near_texts.shingles(t)) else 0 for d, t in texts.items()}
+    beyond = plain_components(sorted(texts), lambda a, b: sets[a] == sets[b] or near(sets[a], sets[b]) and (fp[a] ^ fp[b]).bit_count() > 4)
+    assert beyond != components_of(texts)
+    monkeypatch.setattr(near_texts, "close_members", lambda classes, real=near_texts.close_members: real(classes).limit(0))
+    for options in ({}, {"few": 2, "block": 8}):
+        got = {}
+        for r in near_components(df, **options).collect():
+            got.setdefault(r.component, set()).add(r.doc_id)
+        assert {d: min(c) for c in got.values() for d in c} == beyond
