@@ -50,6 +50,22 @@ def pairs_within(df: DataFrame, group: str, order: str, *columns: str) -> DataFr
     return side(1).join(side(2), group).where(F.col(f"{order}_1") < F.col(f"{order}_2"))
 
 
+def pairs_in_blocks(df: DataFrame, group: str, order: str, *columns: str, block: int = 64) -> DataFrame:
+    """As pairs_within(), for groups of any size: a group's rows are dealt into blocks of about `block`, and the pairs of each two blocks are made in a task of their own.
+    Rows that are alone in their group aren't joined. The group is told by 128 bits of it."""
+    rows = df.where(F.col(group).isNotNull()).select(F.xxhash64(F.lit(1), group).alias("_a"), F.xxhash64(F.lit(2), F.reverse(group)).alias("_b"), F.col(group).alias("_group"), order, *columns)
+    sizes = rows.groupBy("_a", "_b").agg(F.ceil(F.count("*") / block).cast("int").alias("_n"), F.count("*").alias("_rows")).where("_rows > 1").drop("_rows")
+    own = F.pmod(F.xxhash64(F.lit(7), order), F.col("_n").cast("long")).cast("int")
+    dealt = rows.join(sizes, ["_a", "_b"]).withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    keys = ["_a", "_b", "_low", "_high"]
+    dealt = dealt.select("_a", "_b", F.least("_own", "_other").alias("_low"), F.greatest("_own", "_other").alias("_high"), "_own", "_group", order, *columns)
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 200)
+    side = lambda n: dealt.select(*keys, F.col("_own").alias(f"_own_{n}"), F.col("_group").alias(f"_group_{n}"), *(F.col(c).alias(f"{c}_{n}") for c in (order, *columns))).repartition(parts, *keys)
+    once = (F.col("_low") == F.col("_high")) | (F.col("_own_1") != F.col("_own_2"))
+    pairs = side(1).join(side(2).hint("merge"), keys).where(once & (F.col(f"{order}_1") < F.col(f"{order}_2")))
+    return pairs.select(F.col("_group_1").alias(group), *(F.col(f"{c}_1") for c in (order, *columns)), *(F.col(f"{c}_2") for c in (order, *columns)))
+
+
 def matched(requests: DataFrame, responses: DataFrame, key: str = "doi", unknown: str = "UNKNOWN_DOI") -> DataFrame:
     """Every request with its response, without regard to case; `outcome` tells which had none."""
     low = responses.withColumn("_low", F.lower(key)).drop(key)

@@ -114,3 +114,33 @@ def test_title_pairs(spark, duck):
 def test_runs(spark, name):
     df = QUERIES[name](spark, DATA)
     assert all(len(r) == len(df.columns) for r in df.collect())
+
+
+def test_sequences_agree_as_their_ratio(spark):
+    """Bounds before SequenceMatcher change no verdict, and what they settle doesn't reach it."""
+    rng = np.random.default_rng(3)
+    rows = [("", ""), ("", "a"), (None, "a"), ("abcdefghij", "jihgfedcba"), ("ab" * 200, "ba" * 200)]
+    for n in (9, 10, 11, 40, 300):
+        for edits in (0, 1, n // 20, n // 10, n // 5):
+            a = "".join(rng.choice([*"abcd "], n))
+            rows += [(a, "".join(c if rng.random() * n > edits else "x" for c in a)), (a, a[edits:]), (a, a[: n - edits] + a[:edits])]
+    df = spark.createDataFrame(rows, "a string, b string")
+    want = [None if a is None else difflib.SequenceMatcher(None, a, b).ratio() >= 0.9 for a, b in rows]
+    assert {True, False} < {*want}
+    assert [r.m for r in df.select(S.sequences_agree(df.a, df.b).alias("m")).collect()] == want
+    long = "".join(rng.choice([*"abcdefgh"], 20_000))
+    assert not S.sequence_reaches(long, "".join(rng.choice([*"ijklmnop"], 20_000)), 0.9)
+
+
+def test_pairs_of_a_large_group_are_dealt_out(spark):
+    from corpusloom.operators import joins
+
+    rows = [("g", i, f"t{i}") for i in range(150)] + [("h", i, f"u{i}") for i in range(3)] + [("one", 1, "x"), (None, 1, "y"), (None, 2, "z")]
+    df = spark.createDataFrame(rows, "k string, i long, t string").repartition(3)
+    pairs = joins.pairs_in_blocks(df, "k", "i", "t", block=8)
+    key = lambda frame: sorted(map(tuple, frame.select("k", "i_1", "t_1", "i_2", "t_2").collect()))
+    assert key(pairs) == key(joins.pairs_within(df, "k", "i", "t")) and pairs.count() == 150 * 149 // 2 + 3
+    from pyspark.sql import functions as F
+
+    sizes = [r["count"] for r in pairs.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 0.1 * pairs.count()
