@@ -11,7 +11,8 @@ import numpy as np
 import pytest
 
 from corpusloom.functions import similarity as S
-from corpusloom.queries import ORACLES, QUERIES
+from corpusloom.operators import agreement
+from corpusloom.queries import ORACLES, QUERIES, records
 
 DATA = "/root/testdata/sf0.001"
 
@@ -70,7 +71,7 @@ def test_fuzzy_groups(spark, duck):
     for title, kinds in bodies(duck).items():
         scores = [indel(a, b) for i, a in enumerate(kinds) for b in kinds[i + 1 :]]
         want[title] = (min(scores, default=100), max(scores, default=100), len(scores), all(s >= 90 for s in scores))
-    got = {r.title: (r.least, r.greatest, r.pairs, r.passed) for r in QUERIES["fuzzy_pairs"](spark, DATA).collect()}
+    got = {r.title: (r.least, r.greatest, r.pairs, r.passed) for r in agreement.pair_scores(records.shared_bodies(spark, DATA), "title", "body").collect()}
     assert got.keys() == want.keys() and any(x[2] == 0 for x in want.values())
     for t, w in want.items():
         assert got[t] == (pytest.approx(w[0]), pytest.approx(w[1]), *w[2:])
@@ -78,6 +79,27 @@ def test_fuzzy_groups(spark, duck):
     assert (rate.groups, rate.passed) == (len(want), sum(x[3] for x in want.values()))
 
 
+def test_fuzzy_pairs(spark, duck):
+    """Each paper against all others of its title in plain Python."""
+    groups = {}
+    for i, text in duck.execute("SELECT doc_id, text FROM documents ORDER BY doc_id").fetchall():
+        title, _, body = (text or "").partition("\n")
+        if title.strip(" "):
+            body = re.sub(r"\s+([.,;:!?])", r"\1", re.sub(r"\s+", " ", unicodedata.normalize("NFKC", body).lower().strip()))
+            groups.setdefault(title, []).append((i, body))
+    want = {}
+    for own in (x for x in groups.values() if len(x) > 1):
+        like = {i: [j for j, u in own if j != i and indel(t, u) >= 90] for i, t in own}
+        for i, _ in own:
+            reached, todo = {i}, [i]
+            while todo:
+                todo += [j for j in like[todo.pop()] if j not in reached and not reached.add(j)]
+            want[i] = (own[0][0], min(reached), len(like[i]), all(len(x) == len(own) - 1 for x in like.values()))
+    got = QUERIES["fuzzy_pairs"](spark, DATA).collect()
+    assert len(got) == len(want) and {r.doc_id: (r.group_id, r.class_id, r.links, r.passed) for r in got} == want
+    assert {0} < {x[2] for x in want.values()}
+
+
 def windows(a, b):
     if len(a) > len(b):
         a, b = b, a
