@@ -66,6 +66,36 @@ def test_every_window_in_one_sweep():
         assert heads.tolist() == [lcs(a, b[:k]) for k in range(1, n)] and tails.tolist() == [lcs(a, b[-k:]) for k in range(1, n)]
 
 
+@pytest.mark.parametrize("small", [False, True])
+def test_pairs_are_swept_together(monkeypatch, small):
+    """Pairs of all lengths as each alone, in few sweeps; with small limits long strings are cut, and numbers have 32 bits."""
+    if small:
+        for name, value in {"WIDTH": 50, "PIECES": 2, "PIECE": 3, "NARROW": 90, "STEP": (1.1, 1.5), "HELD": 300}.items():
+            monkeypatch.setattr(S, name, value)
+    rng = random.Random(3)
+    pairs = [("", ""), ("", "ab"), ("ab", "a"), ("abcdefghij", "abcdefghi"), ("abcdefghij", "abcdXefghi")]
+    for _ in range(150):
+        letters = rng.choice(["ab", "abcd ", "aé😀b c"])
+        a = text(rng, letters, rng.choice([4, 25]))
+        pairs.append(rng.choice([(a, text(rng, letters, 90)), (text(rng, letters, 90), a), (a, changed(rng, a, 2))]))
+    swept = []
+    one = S.strands
+    monkeypatch.setattr(S, "strands", lambda lanes, letters: swept.append(len(lanes)) or one(lanes, letters))
+    best, agree = S.best_windows(pairs)
+    assert len(swept) < len(pairs) // (2 if small else 10)
+    assert best.tolist() == pytest.approx([windows(a, b) for a, b in pairs])
+    assert agree.tolist() == [windows(a, b) >= 90 or indel(a, b) >= 90 for a, b in pairs]
+    assert {True, False} == {*agree.tolist()}
+
+
+def test_title_scores_with_nulls(spark):
+    rows = [("poly", "copolymers"), (None, "x"), ("x", None), (None, None), ("", ""), ("", "a"), ("abcdefghij", "jihgfedcba")]
+    df = spark.createDataFrame(rows, "a string, b string").coalesce(1)
+    got = [tuple(r.s) for r in df.select(S.title_scores(df.a, df.b).alias("s")).collect()]
+    assert got == [tuple(r) for r in df.select(S.partial_ratio(df.a, df.b), S.titles_agree(df.a, df.b)).collect()]
+    assert [x[0] for x in got[:6]] == [100.0, None, None, None, 100.0, 0.0]
+
+
 def groups(seed):
     rng = random.Random(seed)
     out = {}
